@@ -42,7 +42,7 @@ def main(argv: list[str] | None = None) -> None:
         pages, done = correction.correct(pages, lambda: Gemini(key), c.model, known, rpm=c.rpm)
         writers.write_corrections(done, f"{c.outdir}/corrections")
         if not c.no_cache:
-            cache.save_json(correction.new_entries(done).unionByName(known).dropDuplicates(["key"]), path)
+            cache.save_json(known.unionByName(correction.new_entries(done)), path)
     ner = corpus.entities(corpus.sentences(pages, c.limit))
     for w in works.select("code", "chap_code").distinct().collect():
         writers.export_work(ner, c.outdir, w.code, w.chap_code)

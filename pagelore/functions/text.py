@@ -6,6 +6,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from pagelore.functions import lexicon as V
 
@@ -23,7 +24,7 @@ def ustrip(col: Column) -> Column:
     return sub(col, r"(?U)^\s+|\s+$")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfc(texts: pd.Series) -> pd.Series:
     """Unicode NFC; Spark has no builtin for it."""
     return texts.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFC", t))

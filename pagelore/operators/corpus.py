@@ -10,9 +10,16 @@ from pagelore.functions import spans, text
 from pagelore.operators import numbering
 
 
+def spread(pages: DataFrame) -> DataFrame:
+    """Deals few input splits out over all cores before the regex work; large inputs have splits enough and stay."""
+    cores = pages.sparkSession.sparkContext.defaultParallelism
+    return pages.repartition(cores) if pages.rdd.getNumPartitions() < cores else pages
+
+
 def normalize(pages: DataFrame) -> DataFrame:
-    """Adds ``blocks``; pages without any are dropped, as are their raw texts."""
-    return pages.select("chap_code", "page_no", text.page_blocks(F.col("raw")).alias("blocks")).filter(F.size("blocks") > 0)
+    """Pages with ``blocks`` for their raw texts. An empty page has none and so gives no chunk or sentence; a filter on
+    the derived array would make Spark compute it twice."""
+    return spread(pages).select("chap_code", "page_no", text.page_blocks(F.col("raw")).alias("blocks"))
 
 
 def sentences(normal: DataFrame, limit: int = 0, model: Callable[[Column], Column] = S.cut) -> DataFrame:

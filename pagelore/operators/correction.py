@@ -54,7 +54,7 @@ class Throttle:
 def chunks(pages: DataFrame, model: str, max_chars: int = 2500) -> DataFrame:
     """pages(chap_code, page_no, blocks) -> chunks(chap_code, page_no, chunk_no, chunk, key)."""
     cut = pages.select("chap_code", "page_no", F.posexplode(C.chunks(F.col("blocks"), max_chars)).alias("chunk_no", "chunk"))
-    return cut.withColumn("key", C.cache_key(model, F.col("chunk")))
+    return cut.withColumn("key", C.cache_key(model, F.col("chunk"))).persist()  # every join below starts from it
 
 
 def misses(chunked: DataFrame, cache: DataFrame) -> DataFrame:

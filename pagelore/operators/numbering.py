@@ -18,7 +18,7 @@ def _before(part: list[str], order: str):
 
 def with_offsets(pages: DataFrame, work: str, page: str, n) -> DataFrame:
     """Adds ``offset``: the items on earlier pages of the work. (work, page) must be unique."""
-    sized = pages.withColumns({"_n": n.cast("long"), "_run": F.floor(F.col(page) / RUN)})
+    sized = pages.withColumns({"_n": n.cast("long"), "_run": F.floor(F.col(page) / RUN)}).persist()  # two branches read it
     light = sized.select(work, page, "_run", F.col("_n").alias("n"))
     runs = light.groupBy(work, "_run").agg(F.sum("n").alias("n")).withColumn("_base", _before([work], "_run")).drop("n")
     return (

@@ -37,9 +37,10 @@ def export_work(ner: DataFrame, outdir: str, code: str, chap_code: str) -> None:
     rows = ner.filter(F.col("chap_code") == chap_code).orderBy("seq").toLocalIterator()
     with open(to / f"{chap_code}_seg.tsv", "w", encoding="utf-8") as seg, open(to / f"{chap_code}_ner.json", "w", encoding="utf-8") as out:
         out.write("[")
+        i = -1
         for i, r in enumerate(rows):
             seg.write(f"{r.sentence_id}\t{r.sentence}\n")
             record = {"sentence_id": r.sentence_id, "sentence": r.sentence, "entities": [e.asDict() for e in r.entities]}
             body = json.dumps(record, ensure_ascii=False, indent=2)
             out.write(("," if i else "") + "\n  " + body.replace("\n", "\n  "))
-        out.write("\n]" if rows is not None else "]")
+        out.write("]" if i < 0 else "\n]")

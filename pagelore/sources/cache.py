@@ -23,11 +23,13 @@ def load_json(spark: SparkSession, path: str) -> DataFrame:
 def save_json(cache: DataFrame, path: str) -> None:
     """One JSON object, for tools that expect it; rows stream to the driver one partition at a time."""
     Path(path).parent.mkdir(parents=True, exist_ok=True)
-    with open(path, "w", encoding="utf-8") as f:
+    made = Path(f"{path}.new")  # the rows may come from the old file
+    with made.open("w", encoding="utf-8") as f:
         f.write("{")
         for i, r in enumerate(cache.toLocalIterator()):
             f.write(("," if i else "") + f"\n  {json.dumps(r.key, ensure_ascii=False)}: {json.dumps(r.corrected, ensure_ascii=False)}")
         f.write("\n}")
+    made.replace(path)
 
 
 def load_table(spark: SparkSession, path: str) -> DataFrame:
