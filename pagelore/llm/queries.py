@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagelore.llm import mixing, multiset, ngram_join, packing, quoting
+from pagelore.llm import language, mixing, multiset, ngram_join, packing, quality, quoting, toxicity
 
 QUERIES, SQL = {}, {}
 
@@ -95,3 +95,23 @@ def op8_packing(spark, sf_dir):
 def op9_quotes(spark, sf_dir):
     """Conversations without quotes, ordered by replies."""
     return quoting.conversations(table(spark, sf_dir, "conversations"))
+
+
+@query()
+def op5_quality(spark, sf_dir):
+    """Documents by base counts and a calibrated n-gram regression trained on labels.quality."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.score(docs, quality.fit(docs, labels))
+
+
+@query()
+def op7_toxicity(spark, sf_dir):
+    """Documents by a factorization machine trained on labels.toxic."""
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op10_language(spark, sf_dir):
+    """Languages of documents by bit-sliced Bloom filters."""
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.learn(docs))
