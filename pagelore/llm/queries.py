@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagelore.llm import language, mixing, multiset, ngram_join, packing, quality, quoting, toxicity
+from pagelore.llm import language, mixing, multiset, ngram_join, packing, quality, quoting, repeats, toxicity
 
 QUERIES, SQL = {}, {}
 
@@ -115,3 +115,9 @@ def op10_language(spark, sf_dir):
     """Languages of documents by bit-sliced Bloom filters."""
     docs = table(spark, sf_dir, "documents")
     return language.predict(docs, language.learn(docs))
+
+
+@query()
+def op3_repeats(spark, sf_dir):
+    """Documents without the bytes that a repeated string of 400 bytes covers."""
+    return repeats.remove(table(spark, sf_dir, "documents"))
