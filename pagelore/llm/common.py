@@ -76,3 +76,19 @@ def components(links: DataFrame) -> DataFrame:
         if now == before:
             return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
         before = now
+
+
+def without(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """docs but the rows whose id is in dropped(doc_id). Only rows that a bitmap of the dropped ids lets through are shuffled."""
+    bits = sent(docs.sparkSession, bitmap(dropped, "doc_id"))
+
+    @F.pandas_udf("boolean")
+    def maybe(ids):
+        known = ids.notna()
+        return known & in_bitmap(bits.value, ids.fillna(0).to_numpy())
+
+    marked = docs.withColumn("_maybe", maybe(F.col(id_col).cast("long")))
+    sure = marked.filter("NOT _maybe").drop("_maybe")
+    gone = dropped.select(F.col("doc_id").alias("_gone"))
+    open_rows = marked.filter("_maybe").drop("_maybe")
+    return sure.unionAll(open_rows.join(gone, open_rows[id_col].cast("long") == gone["_gone"], "left_anti"))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagelore.llm import language, mixing, multiset, ngram_join, packing, quality, quoting, repeats, toxicity
+from pagelore.llm import language, mixing, multiset, ngram_join, packing, quality, quoting, repeats, secrets, toxicity
 
 QUERIES, SQL = {}, {}
 
@@ -121,3 +121,17 @@ def op10_language(spark, sf_dir):
 def op3_repeats(spark, sf_dir):
     """Documents without the bytes that a repeated string of 400 bytes covers."""
     return repeats.remove(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_secrets(spark, sf_dir):
+    """Secrets in documents, false positives removed."""
+    return secrets.findings(table(spark, sf_dir, "documents"))
+
+
+@query()
+def pipeline(spark, sf_dir):
+    """The stages of corpus_pipeline.py."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
