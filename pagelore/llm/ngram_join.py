@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagelore.llm import bytehash as B
@@ -39,10 +39,9 @@ SIZE_BITS, HASH_BITS = 20, 42
 SIZE_MAX = (1 << SIZE_BITS) - 1
 
 
-def _ids(n: np.ndarray, heavy: np.ndarray, lo: np.ndarray) -> np.ndarray:
+def _id(n: int, heavy: bool, lo: int) -> int:
     """size | frequent prefix | hash in 63 bits: sorts by size. Sets that share an id by chance are told apart later."""
-    h = lo.astype(np.int64) & ((1 << HASH_BITS) - 1)
-    return (np.minimum(n, SIZE_MAX).astype(np.int64) << (HASH_BITS + 1)) | (heavy.astype(np.int64) << HASH_BITS) | h
+    return (min(n, SIZE_MAX) << (HASH_BITS + 1)) | (heavy << HASH_BITS) | (lo & ((1 << HASH_BITS) - 1))
 
 
 def _ceil(n, num: int, den: int):
@@ -101,7 +100,7 @@ def _pairs(tokens: np.ndarray, need: int, subclasses: int) -> list[int]:
     if not keys:
         return []
     a, b = (np.array(c, U) for c in zip(*keys, strict=True))
-    return (B.mix(B.mix(a) * U(3) + b + U(subclasses) * U(0x9E3779B97F4A7C15)) | U(1)).tolist()
+    return (B.mix(B.mix(a) * U(3) + b + U(subclasses * 0x9E3779B97F4A7C15 % (1 << 64))) | U(1)).tolist()
 
 
 def index_keys(own: np.ndarray, frequent: np.ndarray, num: int, den: int) -> tuple[np.ndarray, bool]:
@@ -135,7 +134,7 @@ def _index(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: i
                     known.add(sig)
                     found, heavy = index_keys(own, often, num, den)
                     keys.append(found)
-                    ids.append(_ids(np.int64(len(own)), np.bool_(heavy), np.int64(sig[1])))
+                    ids.append(_id(len(own), heavy, sig[1]))
                     many.append(len(found))
                 if keys:
                     columns = [np.concatenate(keys).view(np.int64), np.repeat(np.array(ids, np.int64), many)]
@@ -170,8 +169,11 @@ def _size_ok(a: str, b: str, num: int, den: int):
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, k: int, classes: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, rep, own) of the classes with these ids. A bitmap of representatives spares other texts the work."""
-    wanted = written(classes.join(ids.distinct(), "id", "left_semi").select("id", "rep", "hi", "lo"), "wanted")
+    """(id, rep, own) of at least the classes with these ids. A bitmap of representatives spares other texts the work.
+
+    A text that the bitmap lets through by chance only repeats links of its class.
+    """
+    wanted = classes.join(ids.distinct(), "id", "left_semi").select("rep")
     bits = sent(docs.sparkSession, bitmap(wanted, "rep"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,13 +181,12 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, k: int, classes: DataFram
             known = batch.filter(pa.array(in_bitmap(bits.value, batch.column("doc_id").to_numpy(zero_copy_only=False))))
             for piece in B.pieces(known, "text"):
                 owns = list(B.row_shingles(piece.column("text"), k))
-                hi, lo = zip(*map(B.signature, owns), strict=True)
-                columns = [piece.column("doc_id"), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.array([x.tobytes() for x in owns], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["rep", "hi", "lo", "own"])
+                ids = [_id(len(x), False, B.signature(x)[1]) for x in owns]
+                columns = [pa.array(ids, pa.int64()), piece.column("doc_id"), pa.array([x.tobytes() for x in owns], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "rep", "own"])
 
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("doc_id IS NOT NULL")
-    made = own.mapInArrow(run, "rep long, hi long, lo long, own binary")
-    return made.join(wanted, ["rep", "hi", "lo"]).select("id", "rep", "own")
+    return own.mapInArrow(run, "id long, rep long, own binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -228,40 +229,60 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     base = F.shiftleft(F.least("n", F.lit(SIZE_MAX)), HASH_BITS + 1).bitwiseOR(low)
     one = written(grouped.withColumn("base", base), "classes")
     near = written(_neighbours(_index(docs, id_col, text_col, k, num, den, frequent)), "near")
-    # an id with the bit for a frequent prefix stands for the same class
     flag = 1 << HASH_BITS
-    classes = one.select(F.explode(F.array("base", F.col("base").bitwiseOR(flag))).alias("id"), "rep", "hi", "lo")
+    plain = lambda c: F.col(c).bitwiseAND(F.lit(~flag))  # noqa: E731  the class's id, whatever its prefix
+    classes = one.select(F.col("base").alias("id"), "rep")
 
     paired = written(near.groupBy("a", "b").agg(F.count("*").alias("c")), "paired")
-    fits = paired.filter(_size_ok("a", "b", num, den))
-    best = fits.groupBy("b").agg(F.max_by("a", F.struct("c", "a")).alias("ia")).select("ia", F.col("b").alias("ib"))
+    # likely links come first: near copies share a tenth of their tokens in their prefixes at least
+    likely = paired.filter(_size_ok("a", "b", num, den) & (F.col("c") * 30 >= _size("b")))
+    best = likely.groupBy("b").agg(F.max_by("a", F.struct("c", "a")).alias("ia")).select(plain("ia").alias("ia"), plain("b").alias("ib"))
     best = written(best, "best")
     sets = written(_sets(docs, id_col, text_col, k, classes, best.select(F.explode(F.array("ia", "ib")).alias("id"))), "sets")
     first = written(_verified(best, sets, num, den), "links")
 
-    found = components(first)
-    part = classes.join(found, F.col("rep") == F.col("node")).select("id", "component")
-    placed = paired.join(part.toDF("a", "ca"), "a", "left").join(part.toDF("b", "cb"), "b", "left")
-    open_pairs = placed.filter("ca IS NULL OR cb IS NULL OR ca != cb").select("a", "b").distinct()
+    def placed(links: DataFrame) -> DataFrame:
+        """(id, component) of each class that has a link."""
+        return written(classes.join(components(links), F.col("rep") == F.col("node")).select("id", "component"), "placed")
+
+    def apart(pairs: DataFrame, part: DataFrame, a: str, b: str) -> DataFrame:
+        """pairs of different components, with these as ca and cb (null: a class without links)."""
+        both = pairs.join(part.toDF("pa", "ca"), plain(a) == F.col("pa"), "left").join(part.toDF("pb", "cb"), plain(b) == F.col("pb"), "left")
+        return both.filter("ca IS NULL OR cb IS NULL OR ca != cb").drop("pa", "pb")
+
+    part = placed(first)
+    open_pairs = apart(paired, part, "a", "b").select("a", "b")
     keys = near.join(open_pairs, ["a", "b"], "left_semi").select("key").distinct()
     rest = near.join(keys, "key", "left_semi")
-    members = rest.select("key", F.explode(F.array("a", "b")).alias("id")).distinct().join(part, "id", "left")
-    members = written(members, "members")
+    members = rest.select("key", F.explode(F.array("a", "b")).alias("at")).distinct()
+    members = written(members.join(part, plain("at") == F.col("id"), "left").select("at", "key", "component"), "members")
     x, y = members.toDF("ia", "key", "ca"), members.toDF("ib", "key", "cb")
-    apart = F.col("ca").isNull() | F.col("cb").isNull() | (F.col("ca") != F.col("cb"))
-    cross = x.join(y, "key").filter((F.col("ia") < F.col("ib")) & apart & _size_ok("ia", "ib", num, den))
+    differ = F.col("ca").isNull() | F.col("cb").isNull() | (F.col("ca") != F.col("cb"))
+    cross = x.join(y, "key").filter((F.col("ia") < F.col("ib")) & differ & _size_ok("ia", "ib", num, den))
     cross = cross.groupBy("ia", "ib").agg(F.count("*").alias("c"))
     heavy = F.col("ia").bitwiseAND(flag) + F.col("ib").bitwiseAND(flag) >= 2 * flag
     na, nb = _size("ia"), _size("ib")
     lost = F.ceil(nb * num / den) - 1
     reach = F.col("c") + lost >= F.ceil((na + nb) * num / (num + den))
-    cross = cross.filter(heavy | reach | (nb >= SIZE_MAX)).select("ia", "ib").join(best, ["ia", "ib"], "left_anti")
-    double = one.groupBy("base").agg(F.count("*").alias("k")).filter("k > 1").select(F.col("base").alias("ia"), F.col("base").alias("ib"))
+    cross = cross.filter(heavy | reach | (nb >= SIZE_MAX)).select(plain("ia").alias("ia"), plain("ib").alias("ib"), "c").join(best, ["ia", "ib"], "left_anti")
+    double = one.groupBy("base").agg(F.count("*").alias("c")).filter("c > 1").select(F.col("base").alias("ia"), F.col("base").alias("ib"), "c")
     cross = written(cross.unionAll(double), "cross")
-    more_sets = _sets(docs, id_col, text_col, k, classes, cross.select(F.explode(F.array("ia", "ib")).alias("id")))
-    second = _verified(cross, written(more_sets, "sets"), num, den)
-
-    final = components(first.unionAll(second))
+    more_sets = written(_sets(docs, id_col, text_col, k, classes, cross.select(F.explode(F.array("ia", "ib")).alias("id"))), "sets")
+
+    links, left = first, cross
+    for most in (1, 8, None):
+        # a few pairs of each two components first: their links spare most of the rest
+        todo = apart(left, part, "ia", "ib") if most else left.filter("ia = ib").unionAll(apart(left.filter("ia != ib"), part, "ia", "ib").select(*left.columns))
+        if most:
+            ends = [F.coalesce("ca", "ia"), F.coalesce("cb", "ib")]
+            order = Window.partitionBy(F.least(*ends), F.greatest(*ends)).orderBy(F.desc("c"), "ia", "ib")
+            todo = todo.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= most)
+        todo = written(todo.select("ia", "ib"), "todo")
+        links = written(links.unionAll(_verified(todo, more_sets, num, den)), "links")
+        if most:
+            part, left = placed(links), left.join(todo, ["ia", "ib"], "left_anti")
+
+    final = components(links)
     merged = one.join(final, F.col("rep") == F.col("node"), "left").select("hi", "lo", "rep", F.coalesce("component", "rep").alias("component"))
     out = rows.join(merged, ["hi", "lo"], "left")
     alone = (F.col("n") == 0) | F.col("doc_id").isNull()
