@@ -1,22 +1,23 @@
 """Homomorphic multiset fingerprints, in DataFrame functions only.
 
 A text is a multiset of pieces (paragraphs, cut further at sentence ends). Each
-piece's two 64-bit hashes give 120 bits; a lane counts, modulo 2**14, the
-pieces whose bit is set, four lanes to a long with a spare bit each, so that
-sums never overflow. Vectors add and subtract: order doesn't matter, equal
-texts have equal fingerprints, and pieces can be put in or taken out. Two more
-lanes of 61 bits sum the hashes and one counts pieces. As a lane is a random
-+-1 projection, mean squares of lane differences estimate how much differs.
+piece's hash gives 56 bits; a lane counts, modulo 2**7, the pieces whose bit is
+set, seven lanes to a long with a spare bit each, so that sums never overflow.
+Vectors add and subtract: order doesn't matter, equal texts have equal
+fingerprints, and pieces can be put in or taken out. Two more lanes of 61 bits
+sum two hashes and one counts pieces. As a lane is a random +-1 projection,
+mean squares of lane differences estimate how much differs (to a fifth; texts
+of many thousand different pieces wrap their lanes and look less alike).
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-STEP, PER_LONG = 15, 4
-BITS = STEP  # longs per hash
+STEP, PER_LONG = 8, 7
+BITS = STEP  # longs of lanes
 ONES = sum(1 << (STEP * i) for i in range(PER_LONG))
-LANES = sum(((1 << 14) - 1) << (STEP * i) for i in range(PER_LONG))
-SPARE = sum(1 << (14 + STEP * i) for i in range(PER_LONG))
+LANES = sum(((1 << 7) - 1) << (STEP * i) for i in range(PER_LONG))
+SPARE = sum(1 << (7 + STEP * i) for i in range(PER_LONG))
 WIDE = (1 << 61) - 1
 SEEDS = (11, 12)
 PIECES = r"\n+|(?<=[.!?])[ \t]+"
@@ -24,20 +25,28 @@ PIECES = r"\n+|(?<=[.!?])[ \t]+"
 BUCKET, BUCKETS = 2000, 20_000
 
 
+def _bound(value: Column, use) -> Column:
+    """use(value) with the value as a lambda's variable: computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def vector(text: Column) -> Column:
     """array<long>: piece count, two wide sums, then the packed lanes. Null text is empty."""
     own = F.filter(F.split(F.coalesce(text, F.lit("")), PIECES), lambda p: p != "")
-    total = lambda hashes, take, mask: F.aggregate(hashes, F.lit(0).cast("long"), lambda acc, h: (acc + take(h)).bitwiseAND(F.lit(mask)))
 
-    def lanes(hashes: Column) -> Column:
-        return F.array(*(total(hashes, lambda h, b=bit: F.shiftrightunsigned(h, b).bitwiseAND(F.lit(ONES)), LANES) for bit in range(BITS)))
+    def total(hashes: Column, bit: int, mask: int, keep: int) -> Column:
+        take = lambda h: (F.shiftrightunsigned(h, bit) if bit else h).bitwiseAND(F.lit(mask))
+        return F.aggregate(hashes, F.lit(0).cast("long"), lambda acc, h: (acc + take(h)).bitwiseAND(F.lit(keep)))
 
-    def hashed(seed: int) -> Column:
-        return F.transform(own, lambda p: F.xxhash64(p, F.lit(seed)))
+    def of_hashes(x: Column) -> Column:
+        sums = [total(x["h"], 0, WIDE, WIDE), total(x["g"], 0, WIDE, WIDE)]
+        return F.array(F.size(x["h"]).cast("long"), *sums, *(total(x["h"], bit, ONES, LANES) for bit in range(BITS)))
 
-    hashes = [hashed(seed) for seed in SEEDS]
-    sums = [total(h, lambda x: x.bitwiseAND(F.lit(WIDE)), WIDE) for h in hashes]
-    return F.concat(F.array(F.size(own).cast("long"), *sums), *(lanes(h) for h in hashes))
+    def of_pieces(pieces: Column) -> Column:
+        h, g = (F.transform(pieces, lambda p: F.xxhash64(p, F.lit(SEEDS[0]))), F.transform(pieces, lambda p: F.xxhash64(p, F.lit(SEEDS[1]))))
+        return _bound(F.struct(h.alias("h"), g.alias("g")), of_hashes)
+
+    return _bound(own, of_pieces)
 
 
 def _lanewise(a: Column, b: Column, wide, packed) -> Column:
@@ -58,24 +67,25 @@ def to_string(vec: Column) -> Column:
     return F.array_join(F.transform(vec, lambda x: F.lpad(F.hex(x), 16, "0")), "")
 
 
-def _counts(vec: Column) -> Column:
-    """array<double>: all lanes, signed where a difference went below zero."""
-    packed = F.slice(vec, 4, 2 * BITS)
-    lane = lambda x, i: F.shiftright(x, STEP * i).bitwiseAND(F.lit((1 << 14) - 1))
-    signed = lambda v: F.when(v >= 1 << 13, v - (1 << 14)).otherwise(v).cast("double")
-    return F.flatten(F.transform(packed, lambda x: F.array(*(signed(lane(x, i)) for i in range(PER_LONG)))))
-
-
-def _square(counts: Column, n: Column) -> Column:
-    return F.aggregate(counts, F.lit(0.0), lambda acc, c: acc + (c * 2 - n) * (c * 2 - n)) / (2 * BITS * PER_LONG)
+def _square(vec: Column, n: Column) -> Column:
+    """Mean square of 2 * lane - n over all lanes; that difference is known modulo 2**8 and taken as near 0."""
+    off = F.pmod(n, F.lit(256))
+    lane = lambda x, i: F.shiftright(x, STEP * i).bitwiseAND(F.lit(127))
+    near = lambda v: F.pmod(v * 2 - off + 128, F.lit(256)) - 128
+    one = lambda x: sum((near(lane(x, i)) * near(lane(x, i)) for i in range(1, PER_LONG)), near(lane(x, 0)) * near(lane(x, 0)))
+    return F.aggregate(F.slice(vec, 4, BITS), F.lit(0).cast("long"), lambda acc, x: acc + one(x)) / (BITS * PER_LONG)
 
 
 def likeness(a: Column, b: Column) -> Column:
     """0 to 1: one less the estimated share of pieces that differ; 1 for equal vectors."""
-    na, nb = (F.element_at(v, 1).cast("double") for v in (a, b))
-    both = _square(_counts(a), na) + _square(_counts(b), nb)
-    apart = _square(_counts(subtract(a, b)), na - nb)
-    return F.when(a == b, 1.0).when(both <= 0, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - apart / both)))
+
+    def of(x: Column) -> Column:
+        na, nb = F.element_at(x["a"], 1), F.element_at(x["b"], 1)
+        both = _square(x["a"], na) + _square(x["b"], nb)
+        apart = _square(subtract(x["a"], x["b"]), na - nb)
+        return F.when(x["a"] == x["b"], 1.0).when(both <= 0, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - apart / both)))
+
+    return _bound(F.struct(a.alias("a"), b.alias("b")), of)
 
 
 def with_next(docs: DataFrame, order: str, text: str, carried: list[str]) -> DataFrame:
