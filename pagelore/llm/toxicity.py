@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelore.llm.common import crc_mod, sent
+from pagelore.llm.common import crc_mod, sent, written
 from pagelore.llm.features import Rows, labelled_sample, text_batches
 
 BITS, SIZES = 20, (4, 5)
@@ -38,31 +38,40 @@ def _hits(rows: Rows, table: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]
     return row, term if table is None else table[term].astype(np.int64)
 
 
-def sample_terms(sample: DataFrame) -> list[tuple[int, np.ndarray]]:
+def sample_terms(sample: DataFrame, table: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """(label, selected terms) of each sample row."""
+    held = sent(sample.sparkSession, table)
+
     def run(batches):
         for piece in text_batches(batches):
-            row, term = _hits(Rows(piece.column("text"), fold=True), None)
+            row, term = _hits(Rows(piece.column("text"), fold=True), held.value)
             ends = np.searchsorted(row, np.arange(piece.num_rows + 1))
-            terms = [term[a:b].astype(np.int32).tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            terms = [np.unique(term[a:b]).astype(np.int32).tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("label"), pa.array(terms, pa.binary())], names=["doc_id", "label", "terms"])
 
-    got = sample.select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, terms binary").orderBy("doc_id").toArrow()
-    return [(y, np.frombuffer(t, np.int32)) for y, t in zip(got["label"].to_pylist(), got["terms"].to_pylist(), strict=True)]
-
-
-def select(rows: list[tuple[int, np.ndarray]], most: int = TERMS, least: int = 4) -> np.ndarray:
-    """int16[all terms]: the number of a selected term, else -1. Terms eight times as common in class 1, by z score."""
-    seen, n = np.zeros((2, KINDS << BITS), np.int32), [0, 0]
-    for y, terms in rows:
-        seen[y, terms] += 1
-        n[y] += 1
-    p0, p1 = ((seen[k] + 0.5) / (n[k] + 1) for k in (0, 1))
-    p = (seen.sum(0) + 1) / (sum(n) + 2)
-    z = (p1 - p0) / np.sqrt(p * (1 - p) * (1 / max(n[0], 1) + 1 / max(n[1], 1)))
-    good = np.flatnonzero((z > 3) & (p1 > 8 * p0) & (seen[1] >= least))
-    best = good[np.lexsort((good, -z[good]))][:most]
+    got = sample.mapInArrow(run, "doc_id long, label int, terms binary").orderBy("doc_id", "label", "terms").toArrow()
+    return [(y, np.frombuffer(t, np.int32).astype(np.int64)) for y, t in zip(got["label"].to_pylist(), got["terms"].to_pylist(), strict=True)]
+
+
+def select(sample: DataFrame, sizes: dict[int, int], most: int = TERMS, least: int = 4) -> np.ndarray:
+    """int16[all terms]: the number of a selected term, else -1. Terms eight times as common in class 1, by z score; executors count."""
+
+    def run(batches):
+        for piece in text_batches(batches):
+            row, term = _hits(Rows(piece.column("text"), fold=True), None)
+            toxic = piece.column("label").to_numpy()[row] == 1
+            own, place = np.unique(term, return_inverse=True)
+            pos = np.bincount(place, toxic, len(own)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(pos), pa.array(np.bincount(place, ~toxic, len(own)).astype(np.int64))], names=["term", "pos", "neg"])
+
+    seen = sample.mapInArrow(run, "term long, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    p0, p1 = (F.col("neg") + 0.5) / (sizes[0] + 1), (F.col("pos") + 0.5) / (sizes[1] + 1)
+    p = (F.col("pos") + F.col("neg") + 1) / (sizes[0] + sizes[1] + 2)
+    z = (p1 - p0) / F.sqrt(p * (1 - p) * (1 / sizes[0] + 1 / sizes[1]))
+    good = seen.filter((F.col("pos") >= least) & (p1 > 8 * p0)).select("term", z.alias("z")).filter("z > 3")
     table = np.full(KINDS << BITS, -1, np.int16)
-    table[best] = np.arange(len(best))
+    for k, r in enumerate(good.orderBy(F.desc("z"), "term").limit(most).collect()):
+        table[r.term] = k
     return table
 
 
@@ -93,13 +102,12 @@ def train(rows: list[tuple[int, np.ndarray]], terms: int, epochs: int = 12, rate
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: tuple[int, int] = SAMPLE):
     """The machine from labels.toxic; None where a class has no rows (then nothing is toxic). At most so many rows of each class train it."""
     sample, _ = labelled_sample(docs, labels, "toxic", most, id_col, text_col)
-    rows = sample_terms(sample)
-    if len({y for y, _ in rows}) < 2:
+    sample = written(sample.select("doc_id", "label", "text"), "sample")
+    sizes = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if len(sizes) < 2:
         return None
-    table = select(rows)
-    terms = int(table.max()) + 1
-    own = [(y, (k := table[t])[k >= 0].astype(np.int64)) for y, t in rows]
-    return (table, *train(own, terms))
+    table = select(sample, sizes)
+    return (table, *train(sample_terms(sample, table), int(table.max()) + 1))
 
 
 def _scores(col: pa.Array, model) -> np.ndarray:
