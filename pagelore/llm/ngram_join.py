@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagelore.llm import bytehash as B
@@ -238,9 +238,6 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     likely = paired.filter(_size_ok("a", "b", num, den) & (F.col("c") * 30 >= _size("b")))
     best = likely.groupBy("b").agg(F.max_by("a", F.struct("c", "a")).alias("ia")).select(plain("ia").alias("ia"), plain("b").alias("ib"))
     best = written(best, "best")
-    sets = written(_sets(docs, id_col, text_col, k, classes, best.select(F.explode(F.array("ia", "ib")).alias("id"))), "sets")
-    first = written(_verified(best, sets, num, den), "links")
-
     def placed(links: DataFrame) -> DataFrame:
         """(id, component) of each class that has a link."""
         return written(classes.join(components(links), F.col("rep") == F.col("node")).select("id", "component"), "placed")
@@ -250,6 +247,13 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
         both = pairs.join(part.toDF("pa", "ca"), plain(a) == F.col("pa"), "left").join(part.toDF("pb", "cb"), plain(b) == F.col("pb"), "left")
         return both.filter("ca IS NULL OR cb IS NULL OR ca != cb").drop("pa", "pb")
 
+    pairs = likely.select(plain("a").alias("ia"), plain("b").alias("ib")).distinct()
+    sets = written(_sets(docs, id_col, text_col, k, classes, pairs.select(F.explode(F.array("ia", "ib")).alias("id"))), "sets")
+    first = written(_verified(best, sets, num, den), "links")
+    again = written(apart(pairs, placed(first), "ia", "ib").select("ia", "ib").join(best, ["ia", "ib"], "left_anti"), "again")
+    first = written(first.unionAll(_verified(again, sets, num, den)), "links")
+    tried = best.unionAll(again)
+
     part = placed(first)
     open_pairs = apart(paired, part, "a", "b").select("a", "b")
     keys = near.join(open_pairs, ["a", "b"], "left_semi").select("key").distinct()
@@ -264,22 +268,24 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     na, nb = _size("ia"), _size("ib")
     lost = F.ceil(nb * num / den) - 1
     reach = F.col("c") + lost >= F.ceil((na + nb) * num / (num + den))
-    cross = cross.filter(heavy | reach | (nb >= SIZE_MAX)).select(plain("ia").alias("ia"), plain("ib").alias("ib"), "c").join(best, ["ia", "ib"], "left_anti")
+    cross = cross.filter(heavy | reach | (nb >= SIZE_MAX)).select(plain("ia").alias("ia"), plain("ib").alias("ib"), "c").join(tried, ["ia", "ib"], "left_anti")
     double = one.groupBy("base").agg(F.count("*").alias("c")).filter("c > 1").select(F.col("base").alias("ia"), F.col("base").alias("ib"), "c")
     cross = written(cross.unionAll(double), "cross")
     more_sets = written(_sets(docs, id_col, text_col, k, classes, cross.select(F.explode(F.array("ia", "ib")).alias("id"))), "sets")
 
     links, left = first, cross
-    for most in (1, 8, None):
-        # a few pairs of each two components first: their links spare most of the rest
-        todo = apart(left, part, "ia", "ib") if most else left.filter("ia = ib").unionAll(apart(left.filter("ia != ib"), part, "ia", "ib").select(*left.columns))
-        if most:
-            ends = [F.coalesce("ca", "ia"), F.coalesce("cb", "ib")]
-            order = Window.partitionBy(F.least(*ends), F.greatest(*ends)).orderBy(F.desc("c"), "ia", "ib")
-            todo = todo.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= most)
+    for last in (False, False, True):
+        # the best pair of each component first: those links spare most of the rest
+        todo = apart(left.filter("ia != ib"), part, "ia", "ib")
+        if last:
+            todo = todo.select("ia", "ib").unionAll(left.filter("ia = ib").select("ia", "ib"))
+        else:
+            pair = F.struct("c", "ia", "ib")
+            sides = [todo.groupBy(F.coalesce(c, i).alias("at"), F.col(c).isNull().alias("alone")).agg(F.max(pair).alias("p")) for c, i in (("ca", "ia"), ("cb", "ib"))]
+            todo = sides[0].unionAll(sides[1]).select("p.ia", "p.ib").distinct()
         todo = written(todo.select("ia", "ib"), "todo")
         links = written(links.unionAll(_verified(todo, more_sets, num, den)), "links")
-        if most:
+        if not last:
             part, left = placed(links), left.join(todo, ["ia", "ib"], "left_anti")
 
     final = components(links)
