@@ -57,7 +57,7 @@ def crc_mod(key: Column, m: int) -> Column:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """links(a, b) -> (node, component): the smallest node of each connected component.
+    """links(a, b) -> (node, component): the smallest node of each connected component, for every node that has a link.
 
     Alternates large-star and small-star steps until nothing changes; each
     round is written, and a hub's edges are spread by the joins.
@@ -74,7 +74,8 @@ def components(links: DataFrame) -> DataFrame:
         edges = written(ends(small, "e.x", "e.y"), "edges")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
-            return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
+            stars = edges.select(F.explode(F.array("u", "v")).alias("node"), F.col("v").alias("component"))
+            return stars.groupBy("node").agg(F.min("component").alias("component"))
         before = now
 
 

@@ -14,7 +14,8 @@ Equal sets are one class. In each index bucket neighbours by size are paired;
 the best pair of each set is verified and links make components. Only buckets
 that still hold several components are expanded, over pairs of different
 components whose size and number of shared prefix tokens can reach the
-threshold, and those are verified too. So no bucket is expanded into pairs that
+threshold. Bitmaps of both sets, a few bits a token, bound their differences
+from below and rule most of those pairs out; the rest are verified too. So no bucket is expanded into pairs that
 can't change the result, and no link between components is missed.
 """
 
@@ -168,8 +169,45 @@ def _size_ok(a: str, b: str, num: int, den: int):
     return _size(a) * den >= _size(b) * num
 
 
+def sketch(own: np.ndarray) -> bytes:
+    """A bitmap of the low bits of a set's tokens, two to four bits a token. Halves laid over each other give a narrower one."""
+    width = max(64, 1 << (2 * len(own)).bit_length())
+    bits = np.zeros(width, bool)
+    bits[(own & U(width - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def may_link(x: bytes, y: bytes, nx: int, ny: int, num: int, den: int) -> bool:
+    """False only for sets of these sizes and sketches that can't link: a bit of one alone is a token that the other lacks."""
+    a, b = int.from_bytes(x, "little"), int.from_bytes(y, "little")
+    wx, wy = 8 * len(x), 8 * len(y)
+    while wx != wy:
+        if wx > wy:
+            wx //= 2
+            a = a >> wx | a & ((1 << wx) - 1)
+        else:
+            wy //= 2
+            b = b >> wy | b & ((1 << wy) - 1)
+    need = _ceil(nx + ny, num, num + den)
+    return (a & ~b).bit_count() <= nx - need and (b & ~a).bit_count() <= ny - need
+
+
+def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (ia, ib, c) whose sketches don't rule a link out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y, nx, ny = (batch.column(c).to_pylist() for c in ("x", "y", "nx", "ny"))
+            keep = [may_link(*row, num, den) for row in zip(x, y, nx, ny, strict=True)]
+            yield batch.select(["ia", "ib", "c"]).filter(pa.array(keep, pa.bool_()))
+
+    side = lambda i, x, n: sets.select(F.col("id").alias(i), F.col("bits").alias(x), F.col("size").alias(n))
+    both = pairs.join(side("ia", "x", "nx"), "ia").join(side("ib", "y", "ny"), "ib")
+    return both.select("ia", "ib", "c", "x", "y", "nx", "ny").mapInArrow(run, "ia long, ib long, c long").distinct()
+
+
 def _sets(docs: DataFrame, id_col: str, text_col: str, k: int, classes: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, rep, own) of at least the classes with these ids. A bitmap of representatives spares other texts the work.
+    """(id, rep, own, size, bits) of at least the classes with these ids. A bitmap of representatives spares other texts the work.
 
     A text that the bitmap lets through by chance only repeats links of its class.
     """
@@ -183,10 +221,11 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, k: int, classes: DataFram
                 owns = list(B.row_shingles(piece.column("text"), k))
                 ids = [_id(len(x), False, B.signature(x)[1]) for x in owns]
                 columns = [pa.array(ids, pa.int64()), piece.column("doc_id"), pa.array([x.tobytes() for x in owns], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "rep", "own"])
+                columns += [pa.array([len(x) for x in owns], pa.int64()), pa.array([sketch(x) for x in owns], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "rep", "own", "size", "bits"])
 
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("doc_id IS NOT NULL")
-    return own.mapInArrow(run, "id long, rep long, own binary")
+    return own.mapInArrow(run, "id long, rep long, own binary, size long, bits binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -238,9 +277,11 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     likely = paired.filter(_size_ok("a", "b", num, den) & (F.col("c") * 30 >= _size("b")))
     best = likely.groupBy("b").agg(F.max_by("a", F.struct("c", "a")).alias("ia")).select(plain("ia").alias("ia"), plain("b").alias("ib"))
     best = written(best, "best")
-    def placed(links: DataFrame) -> DataFrame:
-        """(id, component) of each class that has a link."""
-        return written(classes.join(components(links), F.col("rep") == F.col("node")).select("id", "component"), "placed")
+
+    def placed(links: DataFrame, before: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+        """(node, component), and (id, component), of each class that has a link; before: the nodes of earlier links."""
+        nodes = written(components(links if before is None else links.unionAll(before.toDF("a", "b"))), "nodes")
+        return nodes, written(classes.join(nodes, F.col("rep") == F.col("node")).select("id", "component"), "placed")
 
     def apart(pairs: DataFrame, part: DataFrame, a: str, b: str) -> DataFrame:
         """pairs of different components, with these as ca and cb (null: a class without links)."""
@@ -249,12 +290,11 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
 
     pairs = likely.select(plain("a").alias("ia"), plain("b").alias("ib")).distinct()
     sets = written(_sets(docs, id_col, text_col, k, classes, pairs.select(F.explode(F.array("ia", "ib")).alias("id"))), "sets")
-    first = written(_verified(best, sets, num, den), "links")
-    again = written(apart(pairs, placed(first), "ia", "ib").select("ia", "ib").join(best, ["ia", "ib"], "left_anti"), "again")
-    first = written(first.unionAll(_verified(again, sets, num, den)), "links")
+    nodes, part = placed(written(_verified(best, sets, num, den), "links"))
+    again = written(apart(pairs, part, "ia", "ib").select("ia", "ib").join(best, ["ia", "ib"], "left_anti"), "again")
+    nodes, part = placed(written(_verified(again, sets, num, den), "links"), nodes)
     tried = best.unionAll(again)
 
-    part = placed(first)
     open_pairs = apart(paired, part, "a", "b").select("a", "b")
     keys = near.join(open_pairs, ["a", "b"], "left_semi").select("key").distinct()
     rest = near.join(keys, "key", "left_semi")
@@ -273,8 +313,9 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     cross = written(cross.unionAll(double), "cross")
     more_sets = written(_sets(docs, id_col, text_col, k, classes, cross.select(F.explode(F.array("ia", "ib")).alias("id"))), "sets")
 
-    links, left = first, cross
-    for last in (False, False, True):
+    distinct = cross.filter("ia != ib")
+    left = written(_possible(distinct, more_sets, num, den).unionAll(cross.filter("ia = ib")), "possible")
+    for last in (False, True):
         # the best pair of each component first: those links spare most of the rest
         todo = apart(left.filter("ia != ib"), part, "ia", "ib")
         if last:
@@ -284,12 +325,10 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
             sides = [todo.groupBy(F.coalesce(c, i).alias("at"), F.col(c).isNull().alias("alone")).agg(F.max(pair).alias("p")) for c, i in (("ca", "ia"), ("cb", "ib"))]
             todo = sides[0].unionAll(sides[1]).select("p.ia", "p.ib").distinct()
         todo = written(todo.select("ia", "ib"), "todo")
-        links = written(links.unionAll(_verified(todo, more_sets, num, den)), "links")
-        if not last:
-            part, left = placed(links), left.join(todo, ["ia", "ib"], "left_anti")
+        nodes, part = placed(written(_verified(todo, more_sets, num, den), "links"), nodes)
+        left = left.join(todo, ["ia", "ib"], "left_anti")
 
-    final = components(links)
-    merged = one.join(final, F.col("rep") == F.col("node"), "left").select("hi", "lo", "rep", F.coalesce("component", "rep").alias("component"))
+    merged = one.join(nodes, F.col("rep") == F.col("node"), "left").select("hi", "lo", "rep", F.coalesce("component", "rep").alias("component"))
     out = rows.join(merged, ["hi", "lo"], "left")
     alone = (F.col("n") == 0) | F.col("doc_id").isNull()
     pick = lambda c: F.when(alone, F.col("doc_id")).otherwise(F.col(c))
