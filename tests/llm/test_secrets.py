@@ -1,0 +1,27 @@
+"""Secret scans on planted findings."""
+
+from pagelore.llm import secrets
+
+DOCS = "doc_id long, text string, start string"
+KEY = "AKIA" + "Q7ZP2M4XK9T1B8VC"
+TEXTS = [(1, f"see {KEY} now"), (2, None), (3, ""), (4, "plain words, 2024-01-15 and order 123456789012"), (5, "api_key = 'f3a91b7c0de24586a9b7c1d2e3f40516'"), (None, f"é𝒳 {KEY}"), (1, f"see {KEY} now"), (6, "w " * 50_000)]
+
+
+def test_findings(spark):
+    got = secrets.findings(spark.createDataFrame([(*r, "x") for r in TEXTS], DOCS)).collect()
+    assert sorted((r.doc_id for r in got), key=str) == [1, 1, 5, None]
+    by = dict(TEXTS)
+    assert {by[r.doc_id][r.start : r.start + r.length] for r in got} == {KEY, "f3a91b7c0de24586a9b7c1d2e3f40516"}
+    assert secrets.findings(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def test_redacted(spark):
+    got = secrets.redacted(spark.createDataFrame([(*r, "x") for r in TEXTS], DOCS)).collect()
+    want = [(d, t and t.replace(KEY, secrets.MASK).replace("f3a91b7c0de24586a9b7c1d2e3f40516", secrets.MASK)) for d, t in TEXTS]
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(want, key=str)
+
+
+def test_forest_on_other_findings():
+    x, y = secrets._matrix(secrets.labelled_findings(seed=99, each=30))
+    right = (secrets.predict(secrets.fit(), x) >= secrets.ACCEPT) == (y == 1)
+    assert right.mean() > 0.95
