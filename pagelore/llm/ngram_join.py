@@ -15,8 +15,10 @@ the best pair of each set is verified and links make components. Only buckets
 that still hold several components are expanded, over pairs of different
 components whose size and number of shared prefix tokens can reach the
 threshold. Bitmaps of both sets, a few bits a token, bound their differences
-from below and rule most of those pairs out; the rest are verified too. So no bucket is expanded into pairs that
-can't change the result, and no link between components is missed.
+from below and rule most of those pairs out; in crowded buckets they do so in
+the join itself, and a pair comes from its first common crowded bucket. The
+rest are verified too. So no bucket is expanded into pairs that can't change
+the result, and no link between components is missed.
 """
 
 from collections.abc import Iterator
@@ -36,6 +38,10 @@ FREQUENT = 64
 MOST = 1 << 20
 #: Tokens counted at once. Those seen once in such a block aren't reported.
 BLOCK = 1 << 22
+#: A bucket with more sets is crowded. Any choice gives the same links.
+CROWD = 64
+#: Longs of a crowd's bitmaps, and the most earlier buckets of a set that ride with it to keep a pair from coming twice.
+MARKS, EARLIER = 8, 64
 SIZE_BITS, HASH_BITS = 20, 42
 SIZE_MAX = (1 << SIZE_BITS) - 1
 
@@ -192,6 +198,51 @@ def may_link(x: bytes, y: bytes, nx: int, ny: int, num: int, den: int) -> bool:
     return (a & ~b).bit_count() <= nx - need and (b & ~a).bit_count() <= ny - need
 
 
+def marks(own: np.ndarray) -> np.ndarray:
+    """int64[MARKS]: the bits of a set's tokens modulo 64 * MARKS."""
+    bits = np.zeros(64 * MARKS, bool)
+    bits[(own % U(64 * MARKS)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").view(np.int64)
+
+
+def _marked(docs: DataFrame, id_col: str, text_col: str, k: int, classes: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, size, m0, m1, ...) of at least the classes with these ids."""
+    wanted = classes.join(ids.distinct(), "id", "left_semi").select("rep")
+    bits = sent(docs.sparkSession, bitmap(wanted, "rep"))
+    names = ["id", "size", *(f"m{i}" for i in range(MARKS))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known = batch.filter(pa.array(in_bitmap(bits.value, batch.column("doc_id").to_numpy(zero_copy_only=False))))
+            for piece in B.pieces(known, "text"):
+                owns = list(B.row_shingles(piece.column("text"), k))
+                if owns:
+                    columns = [[_id(len(x), False, B.signature(x)[1]) for x in owns], [len(x) for x in owns], *np.array([marks(x) for x in owns]).T]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("doc_id IS NOT NULL")
+    return own.mapInArrow(run, ", ".join(f"{c} long" for c in names)).distinct()
+
+
+def _crowded(crowd: DataFrame, marked: DataFrame, num: int, den: int) -> DataFrame:
+    """crowd(at, key, component) -> (ia, ib, c): the pairs of different components of a bucket that sizes and bitmaps don't rule out.
+
+    A pair is made in its first common bucket; where a set is in more than
+    EARLIER of them, perhaps in later ones too. c is a bound on what both share.
+    """
+    first = crowd.groupBy("at").agg(F.slice(F.sort_array(F.collect_list("key")), 1, EARLIER).alias("keys"))
+    rows = crowd.join(first, "at").join(marked, F.col("at").bitwiseAND(F.lit(~(1 << HASH_BITS))) == F.col("id"))
+    rows = rows.withColumn("earlier", F.expr("filter(keys, x -> x < key)")).drop("id", "keys")
+    side = lambda s: rows.select("key", *(F.col(c).alias(c + s) for c in rows.columns if c != "key"))
+    alone = lambda s, t: sum((F.bit_count(F.col(f"m{i}{s}").bitwiseAND(F.bitwise_not(F.col(f"m{i}{t}")))) for i in range(MARKS)), F.lit(0))
+    both = F.col("sizea") + F.col("sizeb")
+    fits = lambda s, t: alone(s, t) * (num + den) <= F.col("size" + s) * (num + den) - both * num
+    differ = F.col("componenta").isNull() | F.col("componentb").isNull() | (F.col("componenta") != F.col("componentb"))
+    ok = (F.col("ata") < F.col("atb")) & differ & _size_ok("ata", "atb", num, den) & fits("a", "b") & fits("b", "a")
+    pairs = side("a").join(side("b"), "key").filter(ok & ~F.arrays_overlap("earliera", "earlierb"))
+    return pairs.select(F.col("ata").alias("ia"), F.col("atb").alias("ib"), F.least(F.col("sizea") - alone("a", "b"), F.col("sizeb") - alone("b", "a")).alias("c"))
+
+
 def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (ia, ib, c) whose sketches don't rule a link out."""
 
@@ -300,7 +351,9 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     rest = near.join(keys, "key", "left_semi")
     members = rest.select("key", F.explode(F.array("a", "b")).alias("at")).distinct()
     members = written(members.join(part, plain("at") == F.col("id"), "left").select("at", "key", "component"), "members")
-    x, y = members.toDF("ia", "key", "ca"), members.toDF("ib", "key", "cb")
+    crowds = written(members.groupBy("key").agg(F.count("*").alias("c")).filter(F.col("c") > CROWD).select("key"), "crowds")
+    crowd, few = members.join(crowds, "key", "left_semi"), members.join(crowds, "key", "left_anti")
+    x, y = (few.select(F.col("at").alias(i), "key", F.col("component").alias(c)) for i, c in (("ia", "ca"), ("ib", "cb")))
     differ = F.col("ca").isNull() | F.col("cb").isNull() | (F.col("ca") != F.col("cb"))
     cross = x.join(y, "key").filter((F.col("ia") < F.col("ib")) & differ & _size_ok("ia", "ib", num, den))
     cross = cross.groupBy("ia", "ib").agg(F.count("*").alias("c"))
@@ -308,7 +361,11 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     na, nb = _size("ia"), _size("ib")
     lost = F.ceil(nb * num / den) - 1
     reach = F.col("c") + lost >= F.ceil((na + nb) * num / (num + den))
-    cross = cross.filter(heavy | reach | (nb >= SIZE_MAX)).select(plain("ia").alias("ia"), plain("ib").alias("ib"), "c").join(tried, ["ia", "ib"], "left_anti")
+    # a pair that shares a crowded bucket too counts too little here, and is found there
+    cross = cross.filter(heavy | reach | (nb >= SIZE_MAX))
+    marked = _marked(docs, id_col, text_col, k, classes, crowd.select(plain("at").alias("id")))
+    cross = cross.unionAll(_crowded(crowd, written(marked, "marked"), num, den)).select(plain("ia").alias("ia"), plain("ib").alias("ib"), "c")
+    cross = cross.groupBy("ia", "ib").agg(F.max("c").alias("c")).join(tried, ["ia", "ib"], "left_anti")
     double = one.groupBy("base").agg(F.count("*").alias("c")).filter("c > 1").select(F.col("base").alias("ia"), F.col("base").alias("ib"), "c")
     cross = written(cross.unionAll(double), "cross")
     more_sets = written(_sets(docs, id_col, text_col, k, classes, cross.select(F.explode(F.array("ia", "ib")).alias("id"))), "sets")

@@ -42,9 +42,11 @@ def corpus(seed):
     return [*rows, rows[-1]]
 
 
-@pytest.mark.parametrize(("seed", "frequent"), [(1, 2), (2, 8), (3, 10_000)])
-def test_against_all_pairs(spark, monkeypatch, seed, frequent):
+@pytest.mark.parametrize(("seed", "frequent", "crowd"), [(1, 2, 64), (2, 8, 2), (3, 10_000, 4)])
+def test_against_all_pairs(spark, monkeypatch, seed, frequent, crowd):
     monkeypatch.setattr(ngram_join, "FREQUENT", frequent)
+    monkeypatch.setattr(ngram_join, "CROWD", crowd)
+    monkeypatch.setattr(ngram_join, "EARLIER", 3)
     rows = corpus(seed)
     got = ngram_join.join(spark.createDataFrame([(*r, "x", 5) for r in rows], DOCS)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == brute(rows)
