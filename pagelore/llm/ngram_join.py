@@ -198,6 +198,11 @@ def may_link(x: bytes, y: bytes, nx: int, ny: int, num: int, den: int) -> bool:
     return (a & ~b).bit_count() <= nx - need and (b & ~a).bit_count() <= ny - need
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    """(id): what pairs(ia, ib) name, made distinct on each side first."""
+    return pairs.select(F.col("ia").alias("id")).distinct().unionAll(pairs.select(F.col("ib").alias("id")).distinct())
+
+
 def marks(own: np.ndarray) -> np.ndarray:
     """int64[MARKS]: the bits of a set's tokens modulo 64 * MARKS."""
     bits = np.zeros(64 * MARKS, bool)
@@ -340,7 +345,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
         return both.filter("ca IS NULL OR cb IS NULL OR ca != cb").drop("pa", "pb")
 
     pairs = likely.select(plain("a").alias("ia"), plain("b").alias("ib")).distinct()
-    sets = written(_sets(docs, id_col, text_col, k, classes, pairs.select(F.explode(F.array("ia", "ib")).alias("id"))), "sets")
+    sets = written(_sets(docs, id_col, text_col, k, classes, _ends(pairs)), "sets")
     nodes, part = placed(written(_verified(best, sets, num, den), "links"))
     again = written(apart(pairs, part, "ia", "ib").select("ia", "ib").join(best, ["ia", "ib"], "left_anti"), "again")
     nodes, part = placed(written(_verified(again, sets, num, den), "links"), nodes)
@@ -368,7 +373,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     cross = cross.groupBy("ia", "ib").agg(F.max("c").alias("c")).join(tried, ["ia", "ib"], "left_anti")
     double = one.groupBy("base").agg(F.count("*").alias("c")).filter("c > 1").select(F.col("base").alias("ia"), F.col("base").alias("ib"), "c")
     cross = written(cross.unionAll(double), "cross")
-    more_sets = written(_sets(docs, id_col, text_col, k, classes, cross.select(F.explode(F.array("ia", "ib")).alias("id"))), "sets")
+    more_sets = written(_sets(docs, id_col, text_col, k, classes, _ends(cross)), "sets")
 
     distinct = cross.filter("ia != ib")
     left = written(_possible(distinct, more_sets, num, den).unionAll(cross.filter("ia = ib")), "possible")
