@@ -1,23 +1,24 @@
 """Homomorphic multiset fingerprints, in DataFrame functions only.
 
 A text is a multiset of pieces (paragraphs, cut further at sentence ends). Each
-piece's hash gives 56 bits; a lane counts, modulo 2**7, the pieces whose bit is
-set, seven lanes to a long with a spare bit each, so that sums never overflow.
-Vectors add and subtract: order doesn't matter, equal texts have equal
-fingerprints, and pieces can be put in or taken out. Two more lanes of 61 bits
-sum two hashes and one counts pieces. As a lane is a random +-1 projection,
-mean squares of lane differences estimate how much differs (to a fifth; texts
-of many thousand different pieces wrap their lanes and look less alike).
+piece's two 64-bit hashes give 120 bits; a lane counts, modulo 2**14, the
+pieces whose bit is set, four lanes to a long with a spare bit each, so that
+sums never overflow. Vectors add and subtract: order doesn't matter, equal
+texts have equal fingerprints, and pieces can be put in or taken out. Two more
+lanes of 61 bits sum the hashes and one counts pieces. As a lane is a random
++-1 projection, mean squares of lane differences estimate how much differs. A
+projection wraps at 2**14: one piece so many times, or 10 million different.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-STEP, PER_LONG = 8, 7
-BITS = STEP  # longs of lanes
+STEP, PER_LONG = 15, 4
+BITS = STEP  # longs per hash
+MOD = 1 << (STEP - 1)
 ONES = sum(1 << (STEP * i) for i in range(PER_LONG))
-LANES = sum(((1 << 7) - 1) << (STEP * i) for i in range(PER_LONG))
-SPARE = sum(1 << (7 + STEP * i) for i in range(PER_LONG))
+LANES = sum((MOD - 1) << (STEP * i) for i in range(PER_LONG))
+SPARE = sum(MOD << (STEP * i) for i in range(PER_LONG))
 WIDE = (1 << 61) - 1
 SEEDS = (11, 12)
 PIECES = r"\n+|(?<=[.!?])[ \t]+"
@@ -40,7 +41,7 @@ def vector(text: Column) -> Column:
 
     def of_hashes(x: Column) -> Column:
         sums = [total(x["h"], 0, WIDE, WIDE), total(x["g"], 0, WIDE, WIDE)]
-        return F.array(F.size(x["h"]).cast("long"), *sums, *(total(x["h"], bit, ONES, LANES) for bit in range(BITS)))
+        return F.array(F.size(x["h"]).cast("long"), *sums, *(total(x[c], bit, ONES, LANES) for c in ("h", "g") for bit in range(BITS)))
 
     def of_pieces(pieces: Column) -> Column:
         h, g = (F.transform(pieces, lambda p: F.xxhash64(p, F.lit(SEEDS[0]))), F.transform(pieces, lambda p: F.xxhash64(p, F.lit(SEEDS[1]))))
@@ -68,12 +69,11 @@ def to_string(vec: Column) -> Column:
 
 
 def _square(vec: Column, n: Column) -> Column:
-    """Mean square of 2 * lane - n over all lanes; that difference is known modulo 2**8 and taken as near 0."""
-    off = F.pmod(n, F.lit(256))
-    lane = lambda x, i: F.shiftright(x, STEP * i).bitwiseAND(F.lit(127))
-    near = lambda v: F.pmod(v * 2 - off + 128, F.lit(256)) - 128
-    one = lambda x: sum((near(lane(x, i)) * near(lane(x, i)) for i in range(1, PER_LONG)), near(lane(x, 0)) * near(lane(x, 0)))
-    return F.aggregate(F.slice(vec, 4, BITS), F.lit(0).cast("long"), lambda acc, x: acc + one(x)) / (BITS * PER_LONG)
+    """Mean square of 2 * lane - n over all lanes; that difference is known modulo 2 * MOD and taken as near 0."""
+    lane = lambda x, i: F.shiftright(x, STEP * i).bitwiseAND(F.lit(MOD - 1))
+    near = lambda v: F.pmod(v * 2 - n + MOD, F.lit(2 * MOD)) - MOD
+    off = F.flatten(F.transform(F.slice(vec, 4, 2 * BITS), lambda x: F.array(*(near(lane(x, i)) for i in range(PER_LONG)))))
+    return F.aggregate(off, F.lit(0).cast("long"), lambda acc, v: acc + v * v) / (2 * BITS * PER_LONG)
 
 
 def likeness(a: Column, b: Column) -> Column:

@@ -48,6 +48,15 @@ def test_vectors_add_and_subtract(spark):
     assert row["add"] and row["sub"] and 0.25 < row["half"] < 0.75 and row["none"] < 0.4 and row["empty"] == 1
 
 
+@pytest.mark.parametrize("n", [2_000, 20_000])
+def test_likeness_of_long_texts(spark, n):
+    text = lambda a, b: F.array_join(F.transform(F.sequence(F.lit(a), F.lit(b - 1)), lambda i: F.concat(F.lit("s"), i.cast("string"))), "\n")
+    v = lambda c: multiset.vector(F.col(c))
+    texts = spark.range(1).select(text(0, n).alias("a"), text(n // 10, n + n // 10).alias("b"), text(n // 2, n + n // 2).alias("c"), text(n, 2 * n).alias("d"))
+    row = texts.select(multiset.likeness(v("a"), v("b")).alias("most"), multiset.likeness(v("a"), v("c")).alias("half"), multiset.likeness(v("a"), v("d")).alias("none")).first()
+    assert 0.85 < row["most"] < 0.95 and 0.35 < row["half"] < 0.65 and row["none"] < 0.25
+
+
 def test_mixing_meets_budget(spark):
     rows = [(i, "w " * (i % 7 + 1), "en" if i % 3 else None, f"src{i % 5}" if i % 11 else None, "x") for i in range(200)]
     own = docs(spark, rows)
