@@ -2,7 +2,8 @@
 
 Terms are words and 4- and 5-byte strings, folded to lower case, present or
 not. Terms whose presence goes with the label in the training sample are
-selected; the machine learns a weight and a vector for each, so that pairs
+selected, and both words of each pair whose presence together does so more than
+either's; the machine learns a weight and a vector for each, so that pairs
 count beyond their sum.
 """
 
@@ -16,8 +17,10 @@ from pagelore.llm.features import Rows, labelled_sample, text_batches
 
 BITS, SIZES = 20, (4, 5)
 KINDS = 1 + len(SIZES)
-#: Training rows that aren't and are toxic, at most; selected terms; factors.
-SAMPLE, TERMS, FACTORS = (3000, 1500), 2048, 8
+#: Training rows that aren't and are toxic, at most; factors; words whose pairs are counted together.
+SAMPLE, FACTORS, BLOCK = (3000, 1500), 8, 512
+#: Of a selected term: toxic rows at least, how many times as common in them, z score. A pair's z score (there are many pairs), and its ratio against its words'.
+LEAST, RATIO, Z, PAIR_Z, GAIN = 4, 8, 3, 6, 2
 REJECT = 0.7
 
 
@@ -53,8 +56,55 @@ def sample_terms(sample: DataFrame, table: np.ndarray) -> list[tuple[int, np.nda
     return [(y, np.frombuffer(t, np.int32).astype(np.int64)) for y, t in zip(got["label"].to_pylist(), got["terms"].to_pylist(), strict=True)]
 
 
-def select(sample: DataFrame, sizes: dict[int, int], most: int = TERMS, least: int = 4) -> np.ndarray:
-    """int16[all terms]: the number of a selected term, else -1. Terms eight times as common in class 1, by z score; executors count."""
+def _rates(pos, neg, sizes: dict[int, int], root):
+    """(how many times as common in class 1, z score) of counts: columns or arrays."""
+    p0, p1 = (neg + 0.5) / (sizes[0] + 1), (pos + 0.5) / (sizes[1] + 1)
+    p = (pos + neg + 1) / (sizes[0] + sizes[1] + 2)
+    return p1 / p0, (p1 - p0) / root(p * (1 - p) * (1 / sizes[0] + 1 / sizes[1]))
+
+
+def _numbered(terms: np.ndarray) -> np.ndarray:
+    """int32[all terms]: a term's number, else -1."""
+    table = np.full(KINDS << BITS, -1, np.int32)
+    table[terms] = np.arange(len(terms))
+    return table
+
+
+def _paired(sample: DataFrame, sizes: dict[int, int], words: np.ndarray) -> np.ndarray:
+    """The words of pairs that go with class 1 beyond either word; executors count all pairs, a block of words at a time."""
+    rows, n = sample_terms(sample, _numbered(words)), len(words)
+    if not n:
+        return words
+    held = sent(sample.sparkSession, [[t.astype(np.int32) for y, t in rows if y == k] for k in (0, 1)])
+
+    def run(batches):
+        def dense(own: list[np.ndarray], a: int, b: int) -> np.ndarray:
+            out = np.zeros((len(own), b - a), np.float32)
+            for i, t in enumerate(own):
+                out[i, t[(t >= a) & (t < b)] - a] = 1
+            return out
+
+        single = [np.bincount(np.concatenate([*own, np.zeros(0, np.int32)]), minlength=n) for own in held.value]
+        ratio = _rates(single[1], single[0], sizes, np.sqrt)[0]
+        for batch in batches:
+            for k in batch.column(0).to_pylist():
+                a, found = k * BLOCK, []
+                first = [dense(own, a, min(a + BLOCK, n)).T for own in held.value]
+                for b in range(a, n, BLOCK):
+                    neg, pos = (x @ dense(own, b, min(b + BLOCK, n)) for x, own in zip(first, held.value, strict=True))
+                    r, z = _rates(pos, neg, sizes, np.sqrt)
+                    alone = np.maximum(ratio[a : a + BLOCK, None], ratio[None, b : b + BLOCK])
+                    i, j = np.nonzero((pos >= LEAST) & (r > RATIO) & (z > PAIR_Z) & (r > GAIN * alone))
+                    found += [i + a, j + b]
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)).astype(np.int64))], names=["word"])
+
+    blocks = -(-n // BLOCK)
+    got = sample.sparkSession.range(0, blocks, 1, blocks).mapInArrow(run, "word long").distinct().toArrow()
+    return words[np.sort(got["word"].to_numpy())]
+
+
+def select(sample: DataFrame, sizes: dict[int, int]) -> np.ndarray:
+    """int32[all terms]: the number of a selected term, else -1. Terms that go with class 1, alone or as words in pairs; executors count."""
 
     def run(batches):
         for piece in text_batches(batches):
@@ -64,15 +114,13 @@ def select(sample: DataFrame, sizes: dict[int, int], most: int = TERMS, least: i
             pos = np.bincount(place, toxic, len(own)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(pos), pa.array(np.bincount(place, ~toxic, len(own)).astype(np.int64))], names=["term", "pos", "neg"])
 
-    seen = sample.mapInArrow(run, "term long, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    p0, p1 = (F.col("neg") + 0.5) / (sizes[0] + 1), (F.col("pos") + 0.5) / (sizes[1] + 1)
-    p = (F.col("pos") + F.col("neg") + 1) / (sizes[0] + sizes[1] + 2)
-    z = (p1 - p0) / F.sqrt(p * (1 - p) * (1 / sizes[0] + 1 / sizes[1]))
-    good = seen.filter((F.col("pos") >= least) & (p1 > 8 * p0)).select("term", z.alias("z")).filter("z > 3")
-    table = np.full(KINDS << BITS, -1, np.int16)
-    for k, r in enumerate(good.orderBy(F.desc("z"), "term").limit(most).collect()):
-        table[r.term] = k
-    return table
+    counted = sample.mapInArrow(run, "term long, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    seen = written(counted.filter(F.col("pos") >= LEAST), "terms")
+    ratio, z = _rates(F.col("pos"), F.col("neg"), sizes, F.sqrt)
+    alone = seen.filter((ratio > RATIO) & (z > Z)).orderBy(z.desc(), "term").select("term").toArrow()["term"].to_numpy()
+    words = np.sort(seen.filter(F.col("term") < 1 << BITS).select("term").toArrow()["term"].to_numpy())  # a pair is no commoner than its words
+    paired = _paired(sample, sizes, words)
+    return _numbered(np.concatenate([alone, np.setdiff1d(paired, alone)]))
 
 
 def train(rows: list[tuple[int, np.ndarray]], terms: int, epochs: int = 12, rate: float = 0.1, decay: float = 2e-4, seed: int = 3):

@@ -98,6 +98,31 @@ def test_machine_learns_pairs():
     assert x(0, 1) > 0 > max(x(0, 2), x(0, 3), x(1, 2), x(1, 3), x(2, 3))
 
 
+def pair_only(kind):
+    """Rows and labels: toxic with both of two words (each in a fifth of the clean rows), or with an insult and a group that are as common alone."""
+    rng, rows = np.random.default_rng(7), []
+    for i in range(900):
+        toxic = i % 5 == 0
+        if kind == "both":
+            extra = ["alpha", "omega"] if toxic else [["alpha"], ["omega"], [], [], []][int(rng.integers(5))]
+        else:
+            own = [["fool", "scrub", "gnat"][int(rng.integers(3))], ["zorv", "melk", "quib"][int(rng.integers(3))]]
+            extra = own if toxic else [own[int(rng.integers(2))]]
+        words = [GOOD[j] for j in rng.integers(0, len(GOOD), 60)] + extra
+        rng.shuffle(words)
+        rows.append((i, " ".join(words), int(toxic)))
+    return rows
+
+
+@pytest.mark.parametrize("kind", ["both", "groups"])
+def test_toxic_only_together(spark, kind):
+    rows = pair_only(kind)
+    got = {r.doc_id: r for r in toxicity.classify(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")).collect()}
+    held = [(got[i].predicted, y) for i, _, y in rows if got[i].held_out]
+    assert sum(y for _, y in held) > 40
+    assert np.mean([p for p, y in held if y]) > 0.9 and np.mean([p for p, y in held if not y]) < 0.02
+
+
 def test_language(spark):
     own = {"aa": [f"ba{c}a" for c in "bcdfg"], "bb": [f"ne{c}e" for c in "bcdfg"], "cc": [f"oto{c}" for c in "bcdfg"]}
     rows = [(i, prose(own[k], 30), k) for i, k in enumerate(list(own) * 60)]
