@@ -43,10 +43,12 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             for name in set(lang.tolist()):
                 rows = Rows(piece.filter(pa.array(lang == name)).column("text"), fold=True)
                 for n in SIZES:
-                    code, seen = np.unique(grams(rows.own, n), return_counts=True)
-                    often = seen > 1
-                    k = int(often.sum())
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * k, pa.string()), pa.array([n] * k, pa.int32()), pa.array(code[often].view(np.int64)), pa.array(seen[often].astype(np.int64))], names=["lang", "n", "code", "seen"])
+                    code = grams(rows.own, n)
+                    at = np.arange(len(code))
+                    inside = at < rows.gram_ends(n)[np.searchsorted(rows.at, at, "right") - 1]  # not across two texts
+                    code, seen = np.unique(code[inside], return_counts=True)
+                    k = len(code)
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * k, pa.string()), pa.array([n] * k, pa.int32()), pa.array(code.view(np.int64)), pa.array(seen.astype(np.int64))], names=["lang", "n", "code", "seen"])
 
     counted = sample.select("lang", "text").mapInArrow(count, "lang string, n int, code long, seen long").groupBy("lang", "n", "code").agg(F.sum("seen").alias("seen"))
     ranked = counted.withColumn("k", F.row_number().over(Window.partitionBy("lang", "n").orderBy(F.desc("seen"), "code"))).filter(F.col("k") <= STRINGS)

@@ -135,6 +135,13 @@ def test_language(spark):
     assert {r.lang_pred for r in language.predict(docs.filter("doc_id < 3"), language.learn(docs.limit(0))).collect()} == {"und"}
 
 
+def test_language_under_any_partitioning(spark):
+    rows = [(i, prose([f"ba{c}a" for c in "bcdfghklmn"], 3), "aa") for i in range(40)] + [(100 + i, prose([f"ne{c}e" for c in "bcdfg"], 30), "bb") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    whole, parts = language.learn(docs.coalesce(1)), language.learn(spark.createDataFrame(spark.sparkContext.parallelize(rows, len(rows)), docs.schema))
+    assert whole[0] == parts[0] and (whole[1] == parts[1]).all() and (whole[2] == parts[2]).all()
+
+
 def test_grams():
     own = np.frombuffer(b"abcab", np.uint8)
     code = features.grams(own, 2)
