@@ -16,7 +16,7 @@ from pagelore.llm.common import crc_mod, sent
 from pagelore.llm.features import Rows, grams, slots, text_batches
 
 SIZES, BITS, HASHES = (4, 5), 20, 2
-#: About so many training documents and so many strings of each size for each language; the most languages of a mask.
+#: About so many training documents and so many strings of each size for each language; the languages of a mask word.
 SAMPLE, STRINGS, LANGUAGES = 1500, 4000, 64
 UNKNOWN = "und"
 
@@ -25,12 +25,12 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """(languages, cells, false-positive rates) from documents whose crc32 of the id, mod 5, isn't 0.
 
     Training documents are a sample of about SAMPLE a language, by a hash of the
-    id; languages beyond the 64 commonest aren't learned. Null languages and
-    texts aren't learned from.
+    id. Cells are masks[language // 64, cell]. Null languages and texts aren't
+    learned from.
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     own = own.filter((crc_mod(F.col("doc_id"), 5) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = own.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    sizes = own.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").collect()
     if not sizes:
         return None
     names = [r.lang for r in sizes]
@@ -54,13 +54,14 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     ranked = counted.withColumn("k", F.row_number().over(Window.partitionBy("lang", "n").orderBy(F.desc("seen"), "code"))).filter(F.col("k") <= STRINGS)
     got = ranked.select("lang", "n", "code").toArrow()
     kind = np.uint8 if len(names) <= 8 else np.uint64
-    cells = np.zeros(HASHES << BITS, kind)
-    lang = np.array([names.index(x) for x in got["lang"].to_pylist()], np.int64)
+    cells = np.zeros((-(-len(names) // LANGUAGES), HASHES << BITS), kind)
+    number = {name: i for i, name in enumerate(names)}
+    lang = np.array([number[x] for x in got["lang"].to_pylist()], np.int64)
     for n in SIZES:
         of = got["n"].to_numpy() == n
         for cell in _cells(got["code"].to_numpy()[of].view(np.uint64), n):
-            np.bitwise_or.at(cells, cell, (np.ones(1, kind) << lang[of].astype(kind)))
-    rates = np.array([np.prod([(cells[h << BITS : (h + 1) << BITS] >> kind(i) & kind(1)).mean() for h in range(HASHES)]) for i in range(len(names))])
+            np.bitwise_or.at(cells, (lang[of] // LANGUAGES, cell), (np.ones(1, kind) << (lang[of] % LANGUAGES).astype(kind)))
+    rates = np.array([np.prod([(cells[i // LANGUAGES, h << BITS : (h + 1) << BITS] >> kind(i % LANGUAGES) & kind(1)).mean() for h in range(HASHES)]) for i in range(len(names))])
     return names, cells, rates
 
 
@@ -73,15 +74,16 @@ def popcounts(rows: Rows, cells: np.ndarray, languages: int) -> tuple[np.ndarray
     hits, total = np.zeros((rows.n, languages)), np.zeros(rows.n)
     for n in SIZES:
         first, *rest = _cells(grams(rows.own, n), n)
-        mask = cells[first]
-        for cell in rest:
-            mask &= cells[cell]
         ends = rows.gram_ends(n)
         total += ends - rows.at[:-1]
-        for i in range(languages):
-            sums = np.concatenate(([0], np.cumsum(mask >> mask.dtype.type(i) & mask.dtype.type(1), dtype=np.int64)))
+        for k, words in enumerate(cells):
+            mask = words[first]
+            for cell in rest:
+                mask &= words[cell]
             last = len(mask)
-            hits[:, i] += sums[np.minimum(ends, last)] - sums[np.minimum(rows.at[:-1], last)]
+            for i in range(k * LANGUAGES, min((k + 1) * LANGUAGES, languages)):
+                sums = np.concatenate(([0], np.cumsum(mask >> mask.dtype.type(i % LANGUAGES) & mask.dtype.type(1), dtype=np.int64)))
+                hits[:, i] += sums[np.minimum(ends, last)] - sums[np.minimum(rows.at[:-1], last)]
     return hits, total
 
 

@@ -142,6 +142,14 @@ def test_language_under_any_partitioning(spark):
     assert whole[0] == parts[0] and (whole[1] == parts[1]).all() and (whole[2] == parts[2]).all()
 
 
+def test_more_languages_than_a_mask_word(spark):
+    own = {f"l{k:03}": [f"{chr(97 + k % 26)}{chr(97 + k // 26)}{c}{chr(97 + k % 26)}{chr(97 + k // 26)}" for c in "bcdfg"] for k in range(140)}
+    rows = [(i, prose(own[k], 20), k) for i, k in enumerate(list(own) * 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in language.predict(docs, language.learn(docs)).collect()}
+    assert all(got[i] == k for i, _, k in rows)
+
+
 def test_grams():
     own = np.frombuffer(b"abcab", np.uint8)
     code = features.grams(own, 2)
