@@ -21,27 +21,31 @@ rest are verified too. So no bucket is expanded into pairs that can't change
 the result, and no link between components is missed.
 """
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagelore.llm import bytehash as B
-from pagelore.llm.common import bitmap, components, in_bitmap, sent, written
+from pagelore.llm.common import bitmap, bounded, components, dropped, in_bitmap, sent, written
 
 U = np.uint64
 #: A token seen in more documents is frequent. Any choice gives the same links; this one only steers cost.
 FREQUENT = 64
 #: Frequent tokens sent to executors: 8 MB at most, the commonest first.
 MOST = 1 << 20
-#: Tokens counted at once. Those seen once in such a block aren't reported.
-BLOCK = 1 << 22
+#: Tokens counted at once, and sets of a task whose repeats are passed over. Those seen once in such a block aren't reported.
+BLOCK, KNOWN = 1 << 21, 1 << 17
 #: A bucket with more sets is crowded. Any choice gives the same links.
 CROWD = 64
-#: Longs of a crowd's bitmaps, and the most earlier buckets of a set that ride with it to keep a pair from coming twice.
-MARKS, EARLIER = 8, 64
+#: Longs of a crowd's bitmaps and of their quick form, and the most earlier buckets of a set that ride with it to keep a pair from coming twice.
+MARKS, QUICK, EARLIER = 16, 4, 64
+#: Stands for the component of a class without links.
+NONE = -(1 << 63)
 SIZE_BITS, HASH_BITS = 20, 42
 SIZE_MAX = (1 << SIZE_BITS) - 1
 
@@ -138,6 +142,8 @@ def _index(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: i
                 for own in B.row_shingles(piece.column("text"), k):
                     if len(own) < 2 or (sig := B.signature(own)) in known:
                         continue
+                    if len(known) >= KNOWN:
+                        known.clear()
                     known.add(sig)
                     found, heavy = index_keys(own, often, num, den)
                     keys.append(found)
@@ -198,6 +204,11 @@ def may_link(x: bytes, y: bytes, nx: int, ny: int, num: int, den: int) -> bool:
     return (a & ~b).bit_count() <= nx - need and (b & ~a).bit_count() <= ny - need
 
 
+def _tasks(pairs: DataFrame, sets: DataFrame) -> int:
+    """Tasks enough for these written tables, so that few rows don't start a worker for each shuffle partition."""
+    return 1 + pairs.count() // 1000 + sets.count() // 1000
+
+
 def _ends(pairs: DataFrame) -> DataFrame:
     """(id): what pairs(ia, ib) name, made distinct on each side first."""
     return pairs.select(F.col("ia").alias("id")).distinct().unionAll(pairs.select(F.col("ib").alias("id")).distinct())
@@ -210,42 +221,83 @@ def marks(own: np.ndarray) -> np.ndarray:
     return np.packbits(bits, bitorder="little").view(np.int64)
 
 
-def _marked(docs: DataFrame, id_col: str, text_col: str, k: int, classes: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, size, m0, m1, ...) of at least the classes with these ids."""
-    wanted = classes.join(ids.distinct(), "id", "left_semi").select("rep")
-    bits = sent(docs.sparkSession, bitmap(wanted, "rep"))
-    names = ["id", "size", *(f"m{i}" for i in range(MARKS))]
+def _solo(sets: DataFrame) -> DataFrame:
+    """(id, hi, solo): how many tokens of a set no other of these sets holds; sets without such tokens have no row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            known = batch.filter(pa.array(in_bitmap(bits.value, batch.column("doc_id").to_numpy(zero_copy_only=False))))
-            for piece in B.pieces(known, "text"):
-                owns = list(B.row_shingles(piece.column("text"), k))
-                if owns:
-                    columns = [[_id(len(x), False, B.signature(x)[1]) for x in owns], [len(x) for x in owns], *np.array([marks(x) for x in owns]).T]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+            for piece in B.pieces(batch, "own"):
+                owns = [np.frombuffer(x.as_buffer(), np.int64) for x in piece.column("own")]
+                many = [len(x) for x in owns]
+                columns = [np.concatenate(owns), *(np.repeat(piece.column(c).to_numpy(), many) for c in ("id", "hi"))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "id", "hi"])
 
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("doc_id IS NOT NULL")
-    return own.mapInArrow(run, ", ".join(f"{c} long" for c in names)).distinct()
+    who = F.struct("id", "hi")  # a class that has several rows counts once
+    alone = sets.select("id", "hi", "own").mapInArrow(run, "token long, id long, hi long").groupBy("token").agg(F.min(who).alias("who"), F.max(who).alias("last")).filter("who = last")
+    return alone.groupBy("who.id", "who.hi").agg(F.count("*").alias("solo"))
 
 
-def _crowded(crowd: DataFrame, marked: DataFrame, num: int, den: int) -> DataFrame:
-    """crowd(at, key, component) -> (ia, ib, c): the pairs of different components of a bucket that sizes and bitmaps don't rule out.
+def _band(size) -> F.Column:
+    """Sizes by steps of 15 in a hundred."""
+    return F.floor(F.log(size) / math.log(1.15)).cast("int")
 
-    A pair is made in its first common bucket; where a set is in more than
-    EARLIER of them, perhaps in later ones too. c is a bound on what both share.
+
+def _fitted(crowd: DataFrame, marked: DataFrame, num: int, den: int) -> DataFrame:
+    """crowd(id, at, key, heavy, component) with the sets' sizes and bitmaps, and ``shared``, a bound on what a set shares.
+
+    In heavy buckets that is what isn't a set's own alone. Sets that it keeps
+    from linking with any size are left out there.
     """
-    first = crowd.groupBy("at").agg(F.slice(F.sort_array(F.collect_list("key")), 1, EARLIER).alias("keys"))
-    rows = crowd.join(first, "at").join(marked, F.col("at").bitwiseAND(F.lit(~(1 << HASH_BITS))) == F.col("id"))
-    rows = rows.withColumn("earlier", F.expr("filter(keys, x -> x < key)")).drop("id", "keys")
-    side = lambda s: rows.select("key", *(F.col(c).alias(c + s) for c in rows.columns if c != "key"))
-    alone = lambda s, t: sum((F.bit_count(F.col(f"m{i}{s}").bitwiseAND(F.bitwise_not(F.col(f"m{i}{t}")))) for i in range(MARKS)), F.lit(0))
-    both = F.col("sizea") + F.col("sizeb")
-    fits = lambda s, t: alone(s, t) * (num + den) <= F.col("size" + s) * (num + den) - both * num
+    shared = F.when(F.col("heavy"), F.col("size") - F.coalesce("solo", F.lit(0))).otherwise(F.col("size"))
+    rows = crowd.join(marked.withColumnRenamed("id", "own"), (F.col("id") == F.col("own")) & (shared * den >= F.col("size") * num))
+    narrow = {f"q{j}": reduce(lambda x, y: x.bitwiseOR(y), [F.col("m")[i] for i in range(j, MARKS, QUICK)]) for j in range(QUICK)}
+    return rows.withColumns({"shared": shared, "band": _band(F.col("size")), **narrow}).drop("solo", "own", "heavy")
+
+
+def _ends_and_all(crowd: DataFrame, marked: DataFrame, num: int, den: int) -> DataFrame:
+    """Fitted rows with ``end``, whether a set is outside its bucket's largest component, and ``earlier``, the EARLIER buckets before."""
+    part = F.coalesce("component", F.lit(NONE))
+    rows = _fitted(crowd, marked, num, den).withColumn("part", part)
+    rows = rows.withColumn("earlier", F.collect_list("key").over(Window.partitionBy("id").orderBy("key").rowsBetween(-EARLIER, -1)))
+    rows = rows.withColumn("many", F.count("*").over(Window.partitionBy("key", "part")))
+    main = F.max_by("part", F.struct("many", "part")).over(Window.partitionBy("key"))
+    return rows.withColumn("end", (main != F.col("part")) | (F.col("part") == NONE)).drop("part", "many", "id")
+
+
+def _pivots(crowd: DataFrame, marked: DataFrame, num: int, den: int) -> DataFrame:
+    """Fitted rows of each set's first heavy bucket; ``end`` is the set with the fewest tokens of its own of each bucket and band."""
+    first = crowd.filter("heavy").groupBy("id", "at", "heavy", "component").agg(F.min("key").alias("key"))
+    rows = _fitted(first, marked, num, den).drop("id").withColumn("earlier", F.array().cast("array<bigint>"))
+    least = F.max_by("at", F.struct(F.col("shared") / F.col("size"), -F.col("at"))).over(Window.partitionBy("key", "band"))
+    return rows.withColumn("end", F.col("at") == least)
+
+
+def _crowded(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """rows of crowded buckets -> (ia, ib, c): the pairs of different components that could link, one end of which is an ``end``.
+
+    A set asks only the bands of sizes that it can reach, in heavy buckets often
+    none. So a large group of linked sets isn't paired with itself. Bitmaps rule
+    out most of the rest. A pair is made in its first common bucket; where that
+    is more than EARLIER buckets back, perhaps in later ones too. c is a bound
+    on what both share.
+    """
+    low, high = F.ceil(F.col("size") * num / den), F.least(F.floor(F.col("size") * den / num), F.floor(F.col("shared") * (num + den) / num) - F.col("size"))
+    asks = rows.filter(F.col("end") & (low <= high)).withColumn("band", F.explode(F.sequence(_band(low), _band(high))))
+    side = lambda r, s: r.select("key", "band", *(F.col(c).alias(c + s) for c in r.columns if c not in ("key", "band")))
+    # first the bitmaps laid over themselves, four longs each, then the whole ones as a fold, which Spark calls instead of inlining: the loop over pairs stays small enough to be compiled
+    bits = lambda s, t: F.zip_with("m" + s, "m" + t, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))))
+    alone = lambda s, t: F.aggregate(bits(s, t), F.lit(0), lambda acc, n: acc + n)
+    need = (F.col("sizea") + F.col("sizeb")) * num
+    reach = lambda s: need <= F.col("shared" + s) * (num + den)
+    quick = lambda s, t: sum((F.bit_count(F.col(f"q{j}{s}").bitwiseAND(F.bitwise_not(F.col(f"q{j}{t}")))) for j in range(QUICK)), F.lit(0))
+    fits = lambda s, t, alone: alone(s, t) * (num + den) <= F.col("size" + s) * (num + den) - need
     differ = F.col("componenta").isNull() | F.col("componentb").isNull() | (F.col("componenta") != F.col("componentb"))
-    ok = (F.col("ata") < F.col("atb")) & differ & _size_ok("ata", "atb", num, den) & fits("a", "b") & fits("b", "a")
-    pairs = side("a").join(side("b"), "key").filter(ok & ~F.arrays_overlap("earliera", "earlierb"))
-    return pairs.select(F.col("ata").alias("ia"), F.col("atb").alias("ib"), F.least(F.col("sizea") - alone("a", "b"), F.col("sizeb") - alone("b", "a")).alias("c"))
+    once = (F.col("ata") < F.col("atb")) | ((F.col("ata") > F.col("atb")) & ~F.col("endb"))
+    near = F.least("sizea", "sizeb") * den >= F.greatest("sizea", "sizeb") * num
+    ok = once & reach("a") & reach("b") & differ & near & fits("a", "b", quick) & fits("b", "a", quick) & fits("a", "b", alone) & fits("b", "a", alone) & ~F.arrays_overlap("earliera", "earlierb")
+    share = F.least(F.col("sizea") - alone("a", "b"), F.col("sizeb") - alone("b", "a"))
+    pairs = side(asks, "a").join(side(rows, "b"), ["key", "band"]).filter(ok)
+    return pairs.select(F.least("ata", "atb").alias("ia"), F.greatest("ata", "atb").alias("ib"), share.alias("c"))
 
 
 def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -259,29 +311,37 @@ def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
     side = lambda i, x, n: sets.select(F.col("id").alias(i), F.col("bits").alias(x), F.col("size").alias(n))
     both = pairs.join(side("ia", "x", "nx"), "ia").join(side("ib", "y", "ny"), "ib")
-    return both.select("ia", "ib", "c", "x", "y", "nx", "ny").mapInArrow(run, "ia long, ib long, c long").distinct()
+    return both.coalesce(_tasks(pairs, sets)).select("ia", "ib", "c", "x", "y", "nx", "ny").mapInArrow(run, "ia long, ib long, c long").distinct()
+
 
+ARROW = {"long": pa.int64(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64())}
 
-def _sets(docs: DataFrame, id_col: str, text_col: str, k: int, classes: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, rep, own, size, bits) of at least the classes with these ids. A bitmap of representatives spares other texts the work.
 
-    A text that the bitmap lets through by chance only repeats links of its class.
+def _sets(docs: DataFrame, id_col: str, text_col: str, k: int, classes: DataFrame, ids: DataFrame, marked: bool = False) -> DataFrame:
+    """(id, hi, rep, size, own, bits), or marked: (id, hi, rep, size, m), of at least the classes with these ids.
+
+    A bitmap of representatives spares other texts the work. A text that it lets
+    through by chance only repeats links of its class.
     """
     wanted = classes.join(ids.distinct(), "id", "left_semi").select("rep")
     bits = sent(docs.sparkSession, bitmap(wanted, "rep"))
+    kinds = {"id": "long", "hi": "long", "rep": "long", "size": "long"} | ({"m": "array<bigint>"} if marked else {"own": "binary", "bits": "binary"})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             known = batch.filter(pa.array(in_bitmap(bits.value, batch.column("doc_id").to_numpy(zero_copy_only=False))))
             for piece in B.pieces(known, "text"):
                 owns = list(B.row_shingles(piece.column("text"), k))
-                ids = [_id(len(x), False, B.signature(x)[1]) for x in owns]
-                columns = [pa.array(ids, pa.int64()), piece.column("doc_id"), pa.array([x.tobytes() for x in owns], pa.binary())]
-                columns += [pa.array([len(x) for x in owns], pa.int64()), pa.array([sketch(x) for x in owns], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "rep", "own", "size", "bits"])
+                signs = [B.signature(x) for x in owns]
+                columns = [[_id(len(x), False, s[1]) for x, s in zip(owns, signs, strict=True)], [s[0] for s in signs], piece.column("doc_id"), [len(x) for x in owns]]
+                if marked:
+                    columns.append([marks(x) for x in owns])
+                else:
+                    columns += [[x.tobytes() for x in owns], [sketch(x) for x in owns]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, ARROW[t]) for c, t in zip(columns, kinds.values(), strict=True)], names=list(kinds))
 
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("doc_id IS NOT NULL")
-    return own.mapInArrow(run, "id long, rep long, own binary, size long, bits binary")
+    return own.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in kinds.items()))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -299,7 +359,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     left = sets.select(F.col("id").alias("ia"), F.col("rep").alias("a"), F.col("own").alias("x"))
     right = sets.select(F.col("id").alias("ib"), F.col("rep").alias("b"), F.col("own").alias("y"))
     both = pairs.select("ia", "ib").join(left, "ia").join(right, "ib").filter("a != b")
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return both.coalesce(_tasks(pairs, sets)).select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 75, den: int = 100) -> DataFrame:
@@ -312,7 +372,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     share a doc_id count as one document. A null doc_id is linked with nothing
     and has null ids.
     """
-    spark = docs.sparkSession
+    spark = bounded(docs).sparkSession
     scan = written(_scan(docs, id_col, text_col, k), "scan")
     rows = scan.filter("n IS NOT NULL").select("doc_id", "n", "hi", "lo")
     counts = scan.filter("token IS NOT NULL").groupBy("token").agg(F.sum("seen").alias("seen")).filter(F.col("seen") > FREQUENT)
@@ -349,15 +409,30 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     nodes, part = placed(written(_verified(best, sets, num, den), "links"))
     again = written(apart(pairs, part, "ia", "ib").select("ia", "ib").join(best, ["ia", "ib"], "left_anti"), "again")
     nodes, part = placed(written(_verified(again, sets, num, den), "links"), nodes)
-    tried = best.unionAll(again)
+    dropped(sets)
 
     open_pairs = apart(paired, part, "a", "b").select("a", "b")
     keys = near.join(open_pairs, ["a", "b"], "left_semi").select("key").distinct()
     rest = near.join(keys, "key", "left_semi")
-    members = rest.select("key", F.explode(F.array("a", "b")).alias("at")).distinct()
-    members = written(members.join(part, plain("at") == F.col("id"), "left").select("at", "key", "component"), "members")
-    crowds = written(members.groupBy("key").agg(F.count("*").alias("c")).filter(F.col("c") > CROWD).select("key"), "crowds")
-    crowd, few = members.join(crowds, "key", "left_semi"), members.join(crowds, "key", "left_anti")
+    members = written(rest.select("key", F.explode(F.array("a", "b")).alias("at")).distinct(), "members")
+    dropped(near, paired)
+    held = Window.partitionBy("key")
+    sized = members.withColumns({"c": F.count("*").over(held).cast("double"), "tokens": F.sum(_size("at").cast("double")).over(held), "id": plain("at")})
+    sized = written(sized.select("key", "at", "id", (F.col("c") > CROWD).alias("crowded"), (F.col("tokens") < F.col("c") * F.col("c")).alias("heavy")), "sized")  # heavy: pairs cost more than tokens
+    dropped(members)
+    crowd = sized.filter("crowded").drop("crowded")
+    where = lambda rows, part: rows.join(part, "id", "left")
+
+    theirs = written(_sets(docs, id_col, text_col, k, classes, crowd.filter("heavy").select("id")), "sets")
+    marked = _sets(docs, id_col, text_col, k, classes, crowd.select("id"), marked=True).drop("rep").distinct()
+    marked = written(marked.join(_solo(theirs), ["id", "hi"], "left").drop("hi"), "marked")
+    pivots = _crowded(_pivots(where(crowd, part), marked, num, den), num, den).select(plain("ia").alias("ia"), plain("ib").alias("ib")).distinct()
+    tried = best.unionAll(again)
+    pivots = written(pivots.join(tried, ["ia", "ib"], "left_anti"), "pivots")
+    nodes, part = placed(written(_verified(pivots, theirs, num, den), "links"), nodes)
+    dropped(theirs)
+
+    few = where(sized.filter("NOT crowded"), part)
     x, y = (few.select(F.col("at").alias(i), "key", F.col("component").alias(c)) for i, c in (("ia", "ca"), ("ib", "cb")))
     differ = F.col("ca").isNull() | F.col("cb").isNull() | (F.col("ca") != F.col("cb"))
     cross = x.join(y, "key").filter((F.col("ia") < F.col("ib")) & differ & _size_ok("ia", "ib", num, den))
@@ -368,11 +443,12 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     reach = F.col("c") + lost >= F.ceil((na + nb) * num / (num + den))
     # a pair that shares a crowded bucket too counts too little here, and is found there
     cross = cross.filter(heavy | reach | (nb >= SIZE_MAX))
-    marked = _marked(docs, id_col, text_col, k, classes, crowd.select(plain("at").alias("id")))
-    cross = cross.unionAll(_crowded(crowd, written(marked, "marked"), num, den)).select(plain("ia").alias("ia"), plain("ib").alias("ib"), "c")
-    cross = cross.groupBy("ia", "ib").agg(F.max("c").alias("c")).join(tried, ["ia", "ib"], "left_anti")
+    fitted = written(_ends_and_all(where(crowd, part), marked, num, den), "fitted")
+    cross = cross.unionAll(_crowded(fitted, num, den)).select(plain("ia").alias("ia"), plain("ib").alias("ib"), "c")
+    cross = cross.groupBy("ia", "ib").agg(F.max("c").alias("c")).join(tried.unionAll(pivots), ["ia", "ib"], "left_anti")
     double = one.groupBy("base").agg(F.count("*").alias("c")).filter("c > 1").select(F.col("base").alias("ia"), F.col("base").alias("ib"), "c")
     cross = written(cross.unionAll(double), "cross")
+    dropped(sized, marked, fitted, best, again, pivots)
     more_sets = written(_sets(docs, id_col, text_col, k, classes, _ends(cross)), "sets")
 
     distinct = cross.filter("ia != ib")
@@ -389,6 +465,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
         todo = written(todo.select("ia", "ib"), "todo")
         nodes, part = placed(written(_verified(todo, more_sets, num, den), "links"), nodes)
         left = left.join(todo, ["ia", "ib"], "left_anti")
+    dropped(cross, more_sets)
 
     merged = one.join(nodes, F.col("rep") == F.col("node"), "left").select("hi", "lo", "rep", F.coalesce("component", "rep").alias("component"))
     out = rows.join(merged, ["hi", "lo"], "left")
