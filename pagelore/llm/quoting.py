@@ -5,8 +5,10 @@ Consecutive lines of one level are a passage. Passages and their lines are
 normalised, hashed and looked up among the lines, paragraphs and whole bodies
 of earlier messages of the conversation. A message replies to the latest
 earlier one that a passage of its lowest quote level is found in, whole
-passages before single lines. Threads follow those links to their first
-message; the conversation is ordered by thread, then turn, without quotes.
+passages before single lines; where nothing of that level is found, the next
+level is asked, and so on, so that a nested quote still places a message.
+Threads follow those links to their first message; the conversation is ordered
+by thread, then turn, without quotes.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -31,25 +33,31 @@ def _lines(text: Column) -> Column:
     return F.transform(F.split(text, r"\r?\n", -1), lambda x: F.struct(_level(x).alias("level"), F.regexp_replace(x, QUOTE, "").alias("own"), x.alias("raw")))
 
 
+def _bound(value: Column, use) -> Column:
+    """use(value) with the value as a lambda's variable: computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def passages(lines: Column) -> Column:
-    """array<(level, text)>: runs of lines of one level, 0 included."""
-    kind = "array<struct<level:int,text:string>>"
-    start = F.array().cast(kind)
+    """array<(level, text)>: runs of lines of one level, 0 included. Linear: places where a run begins, then a slice for each."""
+
+    def of_lines(x: Column) -> Column:
+        level = lambda i: F.element_at(x, i)["level"]
+
+        def passage(begin: Column, end: Column) -> Column:
+            own = F.transform(F.slice(x, begin, end - begin), lambda y: F.when(y["level"] > 0, y["own"]).otherwise(y["raw"]))
+            return F.struct(level(begin).alias("level"), F.array_join(own, "\n").alias("text"))
 
-    def step(acc, x):
-        last = F.try_element_at(acc, F.lit(-1))
-        joined = F.struct(x["level"].alias("level"), F.concat(last["text"], F.lit("\n"), x["own"]).alias("text"))
-        fresh = F.struct(x["level"].alias("level"), F.when(x["level"] > 0, x["own"]).otherwise(x["raw"]).alias("text"))
-        same = F.coalesce(last["level"] == x["level"], F.lit(False))
-        return F.when(same, F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(joined))).otherwise(F.concat(acc, F.array(fresh))).cast(kind)
+        begins = F.filter(F.sequence(F.lit(1), F.size(x)), lambda i: (i == 1) | (level(i) != level(F.greatest(i - 1, F.lit(1)))))
+        return _bound(begins, lambda b: F.transform(b, lambda s, k: passage(s, F.coalesce(F.try_element_at(b, k + 2), F.size(x) + 1))))
 
-    return F.aggregate(lines, start, step)
+    return _bound(lines, of_lines)
 
 
-def _keys(text: Column, rank: int, pattern: str | None) -> Column:
+def _keys(text: Column, rank: Column, pattern: str | None) -> Column:
     parts = F.array(text) if pattern is None else F.split(text, pattern)
     plain = F.filter(F.transform(parts, _plain), lambda p: p != "")
-    return F.transform(plain, lambda p: F.struct(F.xxhash64(p).alias("key"), F.md5(p.cast("binary")).alias("check"), F.lit(rank).alias("rank")))
+    return F.transform(plain, lambda p: F.struct(F.xxhash64(p).alias("key"), F.md5(p.cast("binary")).alias("check"), rank.alias("rank")))
 
 
 def parse(messages: DataFrame) -> DataFrame:
@@ -64,18 +72,20 @@ def parse(messages: DataFrame) -> DataFrame:
 def links(parsed: DataFrame) -> DataFrame:
     """(conv_id, turn, reply_to) of messages with a quote that is found in an earlier one."""
     quoted = parsed.filter("n_quotes > 0").select("conv_id", "turn", F.filter("passages", lambda p: p["level"] > 0).alias("q"))
-    low = F.array_min(F.transform("q", lambda p: p["level"]))
-    quoted = quoted.withColumn("q", F.filter("q", lambda p: p["level"] == low))
-    asked = F.flatten(F.transform("q", lambda p: F.concat(_keys(p["text"], 0, None), _keys(p["text"], 1, r"\n"))))
+    asked = F.flatten(F.transform("q", lambda p: F.concat(_keys(p["text"], 2 * p["level"], None), _keys(p["text"], 2 * p["level"] + 1, r"\n"))))
     asks = quoted.select("conv_id", "turn", F.explode(F.array_distinct(asked)).alias("k")).select("conv_id", "turn", "k.*")
-    body = F.col("content")
-    held = F.concat(_keys(body, 0, None), _keys(body, 0, r"\n[ \t]*\n"), _keys(body, 0, r"\n"))
+    body, none = F.col("content"), F.lit(None).cast("int")
+    held = F.concat(_keys(body, none, None), _keys(body, none, r"\n[ \t]*\n"), _keys(body, none, r"\n"))
     there = parsed.join(asks.select("conv_id").distinct(), "conv_id", "left_semi")
-    holds = there.select("conv_id", "turn", F.explode(F.array_distinct(held)).alias("k")).select("conv_id", "turn", "k.key", "k.check")
-    # the latest earlier holder, by one pass over each text's holders and askers; no pairs are made
-    both = holds.select("conv_id", "key", "check", "turn", F.lit(None).cast("int").alias("rank")).unionAll(asks.select("conv_id", "key", "check", "turn", "rank"))
-    earlier = Window.partitionBy("conv_id", "key", "check").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
-    seen = both.withColumn("at", F.max(F.when(F.col("rank").isNull(), F.col("turn"))).over(earlier)).filter("rank IS NOT NULL AND at IS NOT NULL")
+    holds = there.select("conv_id", "turn", F.explode(F.array_distinct(held)).alias("k")).select("conv_id", "turn", "k.*")
+    # the latest earlier holder: by one pass over each text's holders and askers in a run of turns, or the last run before; no pairs are made
+    both = holds.unionAll(asks).withColumn("run", F.floor(F.col("turn") / RUN))
+    text, holder = ["conv_id", "key", "check"], F.when(F.col("rank").isNull(), F.col("turn"))
+    last = both.groupBy(*text, "run").agg(F.max(holder).alias("last"))
+    before = Window.partitionBy(*text).orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*text, "run").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
+    near = both.withColumn("near", F.max(holder).over(earlier)).filter("rank IS NOT NULL")
+    seen = near.join(last.select(*text, "run", F.max("last").over(before).alias("far")), [*text, "run"]).withColumn("at", F.coalesce("near", "far")).filter("at IS NOT NULL")
     return seen.groupBy("conv_id", "turn").agg(F.max_by("at", F.struct(-F.col("rank"), "at")).alias("reply_to"))
 
 

@@ -1,5 +1,9 @@
 """Fingerprints, mixing, packing and quotes against plain Python."""
 
+import random
+import re
+import time
+
 import hashlib
 
 import pytest
@@ -105,9 +109,63 @@ def test_quotes(spark):
     ]
     got = quoting.conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
     one = sorted((r for r in got if r.conv_id == 1), key=lambda r: r.position)
-    assert [(r.turn, r.reply_to) for r in one] == [(0, None), (1, None), (3, 1), (4, 3), (2, None), (5, None), (6, None)]
-    assert one[2].content == "Why?" and one[3].content == "Because." and one[3].n_quotes == 2
+    assert [(r.turn, r.reply_to) for r in one] == [(0, None), (6, 0), (1, None), (3, 1), (4, 3), (2, None), (5, None)]
+    assert one[3].content == "Why?" and one[4].content == "Because." and one[4].n_quotes == 2
     three = sorted((r for r in got if r.conv_id == 3), key=lambda r: r.position)
     assert [(r.turn, r.reply_to, r.thread) for r in three] == [(0, None, 0), (1, None, 1), (2, 1, 1), (2, 1, 1), (3, 2, 1)]
     assert len(got) == len(rows)
     assert quoting.conversations(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).collect() == []
+
+
+def _quoted(rows):
+    """(conv_id, turn) -> reply_to, message by message."""
+    plain = lambda t: re.sub(r"\s+", " ", t).strip(" ").lower()
+    mark = re.compile(r"^[ \t]*>[> \t]*")
+    out, bodies = {}, {}
+    for conv, turn, _, text in rows:
+        runs = []
+        for line in re.split(r"\r?\n", text):
+            lead = (mark.match(line) or [""])[0]
+            level = lead.count(">")
+            own = line[len(lead) :] if level else line
+            if runs and runs[-1][0] == level:
+                runs[-1][1].append(own)
+            else:
+                runs.append((level, [own]))
+        body = re.sub(r"\n{3,}", "\n\n", "\n".join("\n".join(x) for n, x in runs if not n)).strip(" \n\t\r")
+        bodies[conv, turn] = {plain(p) for p in [body, *re.split(r"\n[ \t]*\n", body), *body.split("\n")]} - {""}
+        asks = {(2 * n + k, plain(p)) for n, x in runs if n for k, ps in ((0, ["\n".join(x)]), (1, x)) for p in ps} - {(None, "")}
+        found = [(-rank, t) for rank, p in asks if p for (c, t), held in bodies.items() if c == conv and t < turn and p in held]
+        out[conv, turn] = max(found)[1] if found else None
+    return out
+
+
+def test_links_against_every_message(spark, monkeypatch):
+    monkeypatch.setattr(quoting, "RUN", 5)
+    rng, said, rows = random.Random(8), {}, []
+    phrases = [f"{a} {b}" for a in ("How do", "why not", "I think", "same") for b in ("you pack", "we  chat", "it works", "OK")]
+    for conv in range(12):
+        for turn in range(rng.randint(1, 25)):
+            lines = []
+            if turn and rng.random() < 0.8:
+                for _ in range(rng.randint(1, 3)):
+                    old = rng.choice(said[conv]) if rng.random() < 0.8 else "gone for good"
+                    mark = rng.choice(["> ", ">", ">> ", "> > ", ">>> "])
+                    lines += [mark + x for x in old.split("\n")[: rng.randint(1, 3)]]
+            lines += [rng.choice(phrases) for _ in range(rng.randint(0, 3))]
+            lines += rng.choice([[], ["", rng.choice(phrases)]])
+            said.setdefault(conv, []).append("\n".join(x for x in lines if not x.startswith(">")) or "-")
+            rows.append((conv, turn, "u", "\n".join(lines)))
+    got = quoting.conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    want = _quoted(rows)
+    assert {(r.conv_id, r.turn): r.reply_to for r in got} == want and sum(v is not None for v in want.values()) > 40
+    for r in got:
+        assert r.thread == r.turn if r.reply_to is None else r.thread < r.turn
+
+
+def test_a_long_message_of_many_passages(spark):
+    long = "\n".join(f"> line {i}" if i % 2 else f"answer {i}" for i in range(20_000))
+    rows = [(1, 0, "u", "line 4001"), (1, 1, "u", long)]
+    began = time.time()
+    got = {r.turn: r for r in quoting.conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert got[1].reply_to == 0 and got[1].n_quotes == 10_000 and time.time() - began < 40
