@@ -16,7 +16,7 @@ windows are counted by hash instead, which spreads any group.
 """
 
 from bisect import bisect_left
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import hashlib
 
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagelore.llm import bytehash as B
-from pagelore.llm.common import bitmap, in_bitmap, sent, written
+from pagelore.llm.common import bitmap, bounded, in_bitmap, sent, written
 
 U = np.uint64
 LENGTH, GRAM = 400, 128
@@ -82,12 +82,8 @@ def common(a: bytes, b: bytes) -> int:
     return int(np.argmax(np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n)))
 
 
-def scan(contexts: list[tuple[bytes, bytes, int]], length: int, least: int, report: Callable | None = None) -> list[tuple[int, int]]:
-    """(left, right) reach of each (reversed left, right, count) context, sorted by right; (0, 0) where nothing repeats.
-
-    report(left, right, members) is called for each interval whose members all
-    agree over length bytes and not over one more byte to the left.
-    """
+def scan(contexts: list[tuple[bytes, bytes, int]], length: int, least: int) -> list[tuple[int, int]]:
+    """(left, right) reach of each (reversed left, right, count) context, sorted by right; (0, 0) where nothing repeats."""
     rank = {x: k for k, x in enumerate(sorted({c[0] for c in contexts}))}
     reach = [(len(a), len(b)) if n > 1 and len(a) + len(b) >= length else (0, 0) for a, b, n in contexts]
 
@@ -106,10 +102,6 @@ def scan(contexts: list[tuple[bytes, bytes, int]], length: int, least: int, repo
             if k < len(big):
                 meet(item[1], big[k][1], right)
             big.insert(k, item)
-        if report:
-            left = common(contexts[big[0][1]][0], contexts[big[-1][1]][0])
-            if left + right >= length:
-                report(left, right, sorted(i for _, i in big))
         return big
 
     stack: list[tuple[int, list]] = []  # (common prefix with the set below, members by left context)
@@ -128,6 +120,36 @@ def scan(contexts: list[tuple[bytes, bytes, int]], length: int, least: int, repo
     return reach
 
 
+def intervals(strings: list[bytes]) -> Iterator[tuple[int, int, int]]:
+    """(common prefix, first, last) of each inner node of the prefix tree of sorted strings, leaves' parents first."""
+    stack: list[tuple[int, int]] = [(-1, 0)]
+    for i in range(1, len(strings) + 1):
+        shared = common(strings[i - 1], strings[i]) if i < len(strings) else -1
+        first = i - 1
+        while stack[-1][0] > shared:
+            depth, first = stack.pop()
+            yield depth, first, i - 1
+        if shared > stack[-1][0]:
+            stack.append((shared, first))
+
+
+def maximal(contexts: list[tuple[bytes, bytes]], length: int) -> Iterator[tuple[int, int, list[int]]]:
+    """(left, right, members) of each repeat of length bytes and more that no byte on either side extends for all its members.
+
+    contexts are (reversed left, right), sorted by right. Each interval of right
+    contexts is taken whole; its members' left contexts make a tree of their
+    own, and a node of that is a repeat if its members part to the right where
+    the interval does (a deeper interval tells it otherwise).
+    """
+    rights = [b for _, b in contexts]
+    for right, first, last in intervals(rights):
+        members = sorted(range(first, last + 1), key=lambda i: contexts[i][0])
+        for left, a, b in intervals([contexts[i][0] for i in members]):
+            own = sorted(members[a : b + 1])
+            if left + right >= length and common(rights[own[0]], rights[own[-1]]) == right:
+                yield left, right, own
+
+
 def _own(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows as (doc_id, text, key): equal rows share a key, and get equal results."""
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -173,15 +195,16 @@ def _anchor_counts(own: DataFrame, length: int, gram: int) -> DataFrame:
     return own.select("key", "text").mapInArrow(run, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
 
 
-def _contexts(own: DataFrame, several, hot, length: int, gram: int) -> DataFrame:
-    """(anchor, key, pos, left reversed, right) of anchors that occur more than once, hot ones aside."""
+def _contexts(own: DataFrame, several, hot, length: int, gram: int, more: int = 0, reach: int = 0) -> DataFrame:
+    """(anchor, key, pos, left reversed, right) of anchors that occur more than once, hot ones aside; more bytes to the left, reach bytes to the right."""
+    back, ahead = length - gram + more, reach or length
 
     def rows(batches):
         for key, text in _texts(batches):
             at, codes = anchors(text, length, gram)
             pick = in_bitmap(several.value, codes) & ~in_bitmap(hot.value, codes) if len(codes) else []
             for p, c in zip(at[pick].tolist(), codes[pick].view(np.int64).tolist(), strict=True) if len(codes) else ():
-                yield c, key, p, text[max(0, p - length + gram) : p][::-1].tobytes(), text[p : p + length].tobytes()
+                yield c, key, p, text[max(0, p - back) : p][::-1].tobytes(), text[p : p + ahead].tobytes()
 
     types, names = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()], ["anchor", "key", "pos", "left", "right"]
     return own.select("key", "text").mapInArrow(lambda b: _flushed(rows(b), types, names), "anchor long, key long, pos long, left binary, right binary")
@@ -257,7 +280,7 @@ def _cut(batches, length: int):
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, hot: int | None = None) -> DataFrame:
     """spans(key, st, en) of bytes covered by a string of length bytes that starts elsewhere too; key is xxhash64(doc_id, text)."""
-    own, spark = _own(docs, id_col, text_col), docs.sparkSession
+    own, spark = _own(bounded(docs), id_col, text_col), docs.sparkSession
     counts = written(_anchor_counts(own, length, gram).filter("n > 1"), "anchors")
     several = sent(spark, bitmap(counts, "anchor"))
     large = counts.filter(F.col("n") > (HOT if hot is None else hot))
@@ -273,7 +296,7 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     matches stay inside a document; a text shorter than length loses nothing.
     """
     spans = written(find(docs, id_col, text_col, length, gram, hot), "spans")
-    keys = written(spans.groupBy("key").agg(F.collect_list(F.struct("st", "en")).alias("spans")), "keys")
+    keys = written(spans.groupBy("key").agg(F.collect_set(F.struct("st", "en")).alias("spans")), "keys")
     bits = sent(docs.sparkSession, bitmap(keys, "key"))
     own = _own(docs, id_col, text_col)
 
@@ -290,31 +313,33 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     return whole.mapInArrow(run, schema).unionAll(parts.mapInArrow(run, schema))
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """Maximal repeat groups with all occurrences: (repeat, n_bytes, key, st) for each interval whose members agree over length bytes.
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, reach: int | None = None) -> DataFrame:
+    """Maximal repeat groups with all occurrences: (repeat, n_bytes, key, st) of each string of length bytes or more that occurs twice or more
+    and that no byte on either side extends for all its occurrences.
 
-    Strings are followed up to ``length - gram`` bytes before an anchor and
-    ``length`` after it; longer repeats come as overlapping groups.
-    A group may be told by several anchors; ``repeat`` names its string, so
-    equal rows can be dropped. Its size is that of the answer: nested repeats
-    list their occurrences again.
+    Strings are followed ``reach`` bytes (2 * length) from the first anchor in
+    them; longer ones come as overlapping pieces. ``repeat`` names the string,
+    so that what several anchors tell is one group. The size is that of the
+    answer: nested repeats list their occurrences again.
     """
-    own, spark = _own(docs, id_col, text_col), docs.sparkSession
+    own, spark, reach = _own(bounded(docs), id_col, text_col), docs.sparkSession, reach or 2 * length
     counts = written(_anchor_counts(own, length, gram).filter("n > 1"), "anchors")
     several, none = sent(spark, bitmap(counts, "anchor")), sent(spark, np.zeros(bitmap(counts.limit(0), "anchor").shape, np.uint8))
+    back = length - gram + 1  # where all agree so far to the left, an earlier anchor tells the whole string
 
     def rows(batches):
         for group in _groups(batches):
-            sorted_contexts = sorted(group, key=lambda c: c[1])
-            found: list[tuple[int, int, list[int]]] = [(len(c[0]), len(c[1]), [i]) for i, c in enumerate(sorted_contexts) if len(group[c]) > 1 and len(c[0]) + len(c[1]) >= length]
-            scan([(*c, len(group[c])) for c in sorted_contexts], length, gram, lambda left, right, members: found.append((left, right, members)))
-            for left, right, members in found:
-                a, b = sorted_contexts[members[0]]
+            some = sorted(group, key=lambda c: c[1])
+            found: list[tuple[int, int, list[int]]] = [(len(c[0]), len(c[1]), [i]) for i, c in enumerate(some) if len(group[c]) > 1 and len(c[0]) + len(c[1]) >= length]
+            for left, right, members in [*found, *maximal(some, length)]:
+                if left == back:
+                    continue
+                a, b = some[members[0]]
                 name = hashlib.md5(a[:left][::-1] + b[:right]).hexdigest()
                 for i in members:
-                    for key, pos in group[sorted_contexts[i]]:
+                    for key, pos in group[some[i]]:
                         yield name, left + right, key, pos - left
 
     types, names = [pa.string(), pa.int64(), pa.int64(), pa.int64()], ["repeat", "n_bytes", "key", "st"]
-    dealt = _contexts(own, several, none, length, gram).repartition("anchor").sortWithinPartitions("anchor")
+    dealt = _contexts(own, several, none, length, gram, 1, reach).repartition("anchor").sortWithinPartitions("anchor")
     return dealt.mapInArrow(lambda b: _flushed(rows(b), types, names), "repeat string, n_bytes long, key long, st long").distinct()

@@ -68,3 +68,36 @@ def test_groups(spark):
         found.setdefault(r.repeat, []).append(keys[r.key][r.st : r.st + r.n_bytes])
     assert all(len(set(v)) == 1 and len(v) > 1 and len(v[0]) >= 20 for v in found.values())
     assert {len(v) for v in found.values()} == {2, 3}  # two of the texts agree on one more blank at either end
+
+
+def all_maximal(texts, length):
+    """Strings of length bytes and more whose occurrences aren't all followed, or all preceded, by one byte, with their places."""
+    out = {}
+    for t in texts.values():
+        for i in range(len(t)):
+            for j in range(i + length, len(t) + 1):
+                out.setdefault(t[i:j], None)
+    found = {}
+    for x in out:
+        at = [(d, i) for d, t in texts.items() for i in range(len(t) - len(x) + 1) if t.startswith(x, i)]
+        before = {(texts[d][i - 1] if i else (d, i)) for d, i in at}
+        after = {(texts[d][i + len(x)] if i + len(x) < len(texts[d]) else (d, i)) for d, i in at}
+        if len(at) > 1 and len(before) > 1 and len(after) > 1:
+            found[x] = set(at)
+    return found
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
+def test_groups_are_all_maximal_repeats(spark, seed):
+    rng = np.random.default_rng(seed)
+    word = lambda k, a="abcdefgh": "".join(a[i] for i in rng.integers(0, len(a), k))
+    left, right = word(4), word(12)
+    texts = {i: word(int(rng.integers(0, 3)), "xyz") + (left if rng.random() < 0.6 else left[2:]) + right + word(int(rng.integers(0, 3)), "xyz") for i in range(9)}
+    texts |= {100: "1" + left + right + "y", 101: "2" + left + right + "w", 102: "3" + right + "z"}  # a repeat inside a longer one
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    keys = {r.key: r.doc_id for r in repeats._own(docs, "doc_id", "text").collect()}
+    found = {}
+    for r in repeats.groups(docs, length=10, gram=4).collect():
+        at = texts[keys[r.key]][r.st : r.st + r.n_bytes]
+        found.setdefault(at, set()).add((keys[r.key], r.st))
+    assert found == all_maximal(texts, 10)
