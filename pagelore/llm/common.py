@@ -172,6 +172,13 @@ def components(links: DataFrame) -> DataFrame:
     return stars.groupBy("node").agg(F.min("component").alias("component"))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
+
+
 def without(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """docs but the rows whose id is in dropped(doc_id). Only rows that a bitmap of the dropped ids lets through are shuffled."""
     bits = sent(docs.sparkSession, bitmap(dropped, "doc_id"))
@@ -181,8 +188,9 @@ def without(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id") -> Data
         known = ids.notna()
         return known & in_bitmap(bits.value, ids.fillna(0).to_numpy())
 
-    marked = docs.withColumn("_maybe", maybe(F.col(id_col).cast("long")))
-    sure = marked.filter("NOT _maybe").drop("_maybe")
-    gone = dropped.select(F.col("doc_id").alias("_gone"))
-    open_rows = marked.filter("_maybe").drop("_maybe")
-    return sure.unionAll(open_rows.join(gone, open_rows[id_col].cast("long") == gone["_gone"], "left_anti"))
+    flag, gone_id = fresh(docs, "_maybe"), fresh(docs, "_gone")
+    marked = bounded(docs).withColumn(flag, maybe(F.col(id_col).cast("long")))
+    sure = marked.filter(~F.col(flag)).drop(flag)
+    gone = dropped.select(F.col("doc_id").alias(gone_id))
+    open_rows = marked.filter(F.col(flag)).drop(flag)
+    return sure.unionAll(open_rows.join(gone, F.col(id_col).cast("long") == F.col(gone_id), "left_anti"))

@@ -369,8 +369,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     sets of k-word shingles (A-Z lower-cased; fewer words: all as one). class_id
     is the smallest doc_id with an equal set, component_id the smallest reachable
     by links. A text without words has an empty set and its own ids. Rows that
-    share a doc_id count as one document. A null doc_id is linked with nothing
-    and has null ids.
+    share a doc_id count as one document, whose sets are linked. A null doc_id
+    is linked with nothing and has null ids.
     """
     spark = bounded(docs).sparkSession
     scan = written(_scan(docs, id_col, text_col, k), "scan")
@@ -453,6 +453,10 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
 
     distinct = cross.filter("ia != ib")
     left = written(_possible(distinct, more_sets, num, den).unionAll(cross.filter("ia = ib")), "possible")
+    several = rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct("hi", "lo")).alias("x"), F.max(F.struct("hi", "lo")).alias("y")).filter("x != y")
+    ends = several.join(rows.filter("n > 0"), "doc_id").select("x", F.struct("hi", "lo").alias("y")).distinct()
+    of_id = lambda c, name: one.select(F.struct("hi", "lo").alias(c), F.col("rep").alias(name))
+    same_id = written(ends.join(of_id("x", "a"), "x").join(of_id("y", "b"), "y").select("a", "b"), "same")
     for last in (False, True):
         # the best pair of each component first: those links spare most of the rest
         todo = apart(left.filter("ia != ib"), part, "ia", "ib")
@@ -463,7 +467,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
             sides = [todo.groupBy(F.coalesce(c, i).alias("at"), F.col(c).isNull().alias("alone")).agg(F.max(pair).alias("p")) for c, i in (("ca", "ia"), ("cb", "ib"))]
             todo = sides[0].unionAll(sides[1]).select("p.ia", "p.ib").distinct()
         todo = written(todo.select("ia", "ib"), "todo")
-        nodes, part = placed(written(_verified(todo, more_sets, num, den), "links"), nodes)
+        found = written(_verified(todo, more_sets, num, den), "links")
+        nodes, part = placed(found.unionAll(same_id) if last else found, nodes)
         left = left.join(todo, ["ia", "ib"], "left_anti")
     dropped(cross, more_sets)
 

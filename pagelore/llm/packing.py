@@ -79,7 +79,8 @@ def best_fit(sized: DataFrame, lengths=LENGTHS, price: Callable[[int], float] =
         made = pd.DataFrame(out, columns=["doc_id", "piece", "n_tokens", "bin_id", "bin_size", "bin_offset"], dtype=object)
         return made.astype({"doc_id": "Int64", "piece": "int32", "n_tokens": "int64", "bin_size": "Int32", "bin_offset": "Int32"})
 
-    dealt = sized.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
+    key = F.coalesce("doc_id", F.monotonically_increasing_id())  # rows without an id are dealt out by their place in the written table
+    dealt = sized.withColumn("shard", F.pmod(F.xxhash64(key), F.lit(shards)))
     return dealt.groupBy("shard").applyInPandas(run, SCHEMA)
 
 
