@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelore.llm import mixing, ngram_join, packing, secrets, toxicity
-from pagelore.llm.common import without, written
+from pagelore.llm.common import fresh, without, written
 from pagelore.llm.queries import WEIGHTS
 
 #: Share of the tokens that the mix keeps.
@@ -16,16 +16,19 @@ BUDGET = (9, 10)
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents with a toxicity of 0.7 and more; the machine learns from the training rows of labels."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    """Drops documents with a toxicity of 0.7 and more; the machine learns from the training rows of labels.
+
+    Null and empty texts are scored as texts without terms; rows without an id are scored like others.
+    """
+    labels, name = spark.read.parquet(f"{sf_dir}/labels.parquet"), fresh(docs, "_toxicity")
     model = toxicity.fit(docs, toxicity.training_labels(labels))
-    return toxicity.score(docs, model, column="_toxicity").filter(F.col("_toxicity") < toxicity.REJECT).select(*docs.columns)
+    return toxicity.score(docs, model, column=name).filter(F.col(name) < toxicity.REJECT).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each component of Jaccard links; rows without an id stay.
 
-    Of rows that repeat an id, which count as one document, the first by text stays.
+    Rows that repeat an id count as one document, of which one whole row stays: the first by text, null texts last.
     """
     joined = written(ngram_join.join(docs).select("doc_id", "component_id"), "joined")
     ids = joined.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"), F.min("component_id").alias("component_id"))
@@ -34,14 +37,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     if twice.isEmpty():
         return kept
     rest = [c for c in docs.columns if c != "doc_id"]
-    first = kept.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*rest), "text").alias("r")).select("doc_id", "r.*")
+    row = fresh(docs, "_row")
+    order = F.struct(F.col("text").isNull(), "text", F.xxhash64(*rest))
+    first = kept.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*rest), order).alias(row)).select("doc_id", f"{row}.*")
     return without(kept, twice).unionByName(first.select(*docs.columns))
 
 
 def secret(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Masks secrets in texts; every document stays."""
+    """Masks secrets in texts; every document stays. n_chars, where there is one, counts the masked text."""
     masked = secrets.redacted(docs)
-    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    if "n_chars" in docs.columns:
+        masked = masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return masked.select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +60,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs documents into sequences of permitted lengths."""
+    """Packs documents into sequences of permitted lengths; a text without words, or null, has a row without a bin."""
     return packing.of_documents(docs)
 
 
