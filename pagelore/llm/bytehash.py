@@ -50,7 +50,7 @@ def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), at
 
 
-def pieces(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, column: str, most: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """Slices of about ``most`` bytes of text, one row at least, so that memory doesn't follow the batch size."""
     _, at = utf8(batch.column(column))
     i, n = 0, batch.num_rows

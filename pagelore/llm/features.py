@@ -55,7 +55,7 @@ def means(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarra
     return (sums[np.minimum(ends, last)] - sums[np.minimum(begins, last)]) / np.maximum(ends - begins, 1)
 
 
-def text_batches(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def text_batches(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         yield from B.pieces(batch, column, most)
 

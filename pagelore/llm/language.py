@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagelore.llm.common import crc_mod, sent
+from pagelore.llm.common import bounded, crc_mod, sent
 from pagelore.llm.features import Rows, grams, slots, text_batches
 
 SIZES, BITS, HASHES = (4, 5), 20, 2
@@ -38,7 +38,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     sample = own.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.try_element_at(share, F.col("lang")) * (1 << 20))
 
     def count(batches):
-        for piece in text_batches(batches, most=8 << 20):
+        for piece in text_batches(batches):
             lang = piece.column("lang").to_numpy(zero_copy_only=False)
             for name in set(lang.tolist()):
                 rows = Rows(piece.filter(pa.array(lang == name)).column("text"), fold=True)
@@ -102,7 +102,7 @@ def predict(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "tex
     any hit the commonest learned language is told, with score 0. Ties go to
     the commoner language.
     """
-    held = sent(docs.sparkSession, model)
+    held = sent(bounded(docs).sparkSession, model)
 
     def run(batches):
         model = held.value

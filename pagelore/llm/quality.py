@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagelore.llm import bytehash as B
-from pagelore.llm.common import sent
+from pagelore.llm.common import bounded, sent
 from pagelore.llm.features import Rows, labelled_sample, means, text_batches
 
 U = np.uint64
@@ -140,7 +140,7 @@ def base_counts(col: pa.Array) -> dict[str, np.ndarray]:
 
 def score(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text", keep: float = KEEP) -> DataFrame:
     """documents -> doc_id, base counts, base_failed, quality (probability), kept. Null text has no words and fails."""
-    held = sent(docs.sparkSession, model)
+    held = sent(bounded(docs).sparkSession, model)
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
     def run(batches):

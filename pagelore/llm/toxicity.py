@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelore.llm.common import crc_mod, sent, written
+from pagelore.llm.common import bounded, crc_mod, sent, written
 from pagelore.llm.features import Rows, labelled_sample, text_batches
 
 BITS, SIZES = 20, (4, 5)
@@ -172,7 +172,7 @@ def _scores(col: pa.Array, model) -> np.ndarray:
 
 def score(docs: DataFrame, model, text_col: str = "text", column: str = "score") -> DataFrame:
     """docs with a score of toxicity added; null text counts as empty."""
-    held = sent(docs.sparkSession, model)
+    held = sent(bounded(docs).sparkSession, model)
 
     @F.pandas_udf("double")
     def scored(texts):
