@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from pagelore.llm import ngram_join
+from pagelore.llm import common, ngram_join
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, component_id string, id long"
@@ -81,3 +81,17 @@ def test_stage_keeps_one_of_each_group(spark):
     want = [d for d, (_, c) in brute(rows).items() if d == c] + [d for d, _ in rows if d is None]
     assert sorted((r.doc_id for r in got), key=str) == sorted(want, key=str)
     assert set(docs.columns) == set(got[0].asDict())
+
+
+@pytest.mark.parametrize("edges", [3, 1 << 18])
+def test_components(spark, monkeypatch, edges):
+    monkeypatch.setattr(common, "EDGES", edges)
+    rng = random.Random(edges)
+    links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(30)]
+    part = {x: x for e in links for x in e}
+    for _ in links:
+        for a, b in links:
+            part[a] = part[b] = min(part[a], part[b])
+    got = {r.node: r.component for r in common.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {x: c for x, c in part.items() if x in got} and all(x in got or not any(x in e and e[0] != e[1] for e in links) for x in part)
+    assert common.components(spark.createDataFrame([], "a long, b long")).collect() == []
