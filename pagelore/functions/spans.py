@@ -20,7 +20,7 @@ def _span(st: Column, en: Column, prio: int, seq: int, label: Column | str) -> C
 
 
 def find(sentence: Column, pattern: str, label: str, seq: int) -> Column:
-    """array<span> of a pattern's matches; of group ``own`` where the pattern names one."""
+    """array<span> of a pattern's matches; of group ``own`` where the pattern names one. Most sentences have none: one search tells."""
     safe = F.translate(sentence, OPEN + CLOSE, "  ")
     to = f"${{lead}}{OPEN}${{own}}{CLOSE}" if "(?<own>" in pattern else f"{OPEN}$0{CLOSE}"
     parts = F.split(F.regexp_replace(safe, F.lit("(?U)" + pattern), F.lit(to)), f"[{OPEN}{CLOSE}]", -1)
@@ -31,7 +31,8 @@ def find(sentence: Column, pattern: str, label: str, seq: int) -> Column:
         span = _span(acc["at"], end, V.PRIORITY[label], seq, label)
         return F.struct(end.alias("at"), (~acc["inside"]).alias("inside"), F.when(acc["inside"], F.concat(acc["found"], F.array(span))).otherwise(acc["found"]).alias("found"))
 
-    return F.aggregate(parts, start, step, lambda acc: acc["found"])
+    found = F.aggregate(parts, start, step, lambda acc: acc["found"])
+    return F.when(safe.rlike("(?U)" + pattern), found).otherwise(F.array().cast(SPAN))
 
 
 def merge_bio(sentence: Column, tokens: Column) -> Column:

@@ -45,7 +45,7 @@ def fix_tones(col: Column) -> Column:
     for moved, old in zip(V.toned("u"), V.toned("y"), strict=True):
         col = sub(sub(col, f"(?<![qQ])u{old}", f"{moved}y"), f"(?<![qQ])U{old}", f"{moved.upper()}y")
     for wrong, right in zip(V.toned("o"), V.toned("a"), strict=True):
-        col = sub(col, f"{wrong}a(?=[{V.LOWER}])", f"o{right}")
+        col = sub(col, f"{wrong}a(?=[{V.CLOSING}])", f"o{right}")
     return col
 
 
