@@ -20,6 +20,7 @@ class RunConfig:
     rpm: int = 0
     ocr: bool = False
     ocr_dpi: int = 200
+    no_models: bool = False
 
 
 def parse(argv: list[str] | None = None) -> RunConfig:

@@ -31,5 +31,10 @@ def of_blocks(blocks: Column, min_len: int = 4, model: Callable[[Column], Column
     return kept(F.flatten(F.transform(stripped, model)), min_len)
 
 
+def by_model(blocks: Column, cutter: Callable[[Column], Column], min_len: int = 4) -> Column:
+    """The same with a model that takes all of a page's blocks at once (a UDF can't run inside a transform)."""
+    return kept(cutter(F.filter(F.transform(blocks, ustrip), lambda b: b != "")), min_len)
+
+
 def of_text(text: Column, min_len: int = 4, model: Callable[[Column], Column] = cut) -> Column:
     return of_blocks(F.split(text, "\n", -1), min_len, model)

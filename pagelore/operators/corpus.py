@@ -22,9 +22,10 @@ def normalize(pages: DataFrame) -> DataFrame:
     return spread(pages).select("chap_code", "page_no", text.page_blocks(F.col("raw")).alias("blocks"))
 
 
-def sentences(normal: DataFrame, limit: int = 0, model: Callable[[Column], Column] = S.cut) -> DataFrame:
-    """sentences(chap_code, page_no, seq, sentence_id, sentence)."""
-    split = normal.select("chap_code", "page_no", S.of_blocks(F.col("blocks"), model=model).alias("_sents"))
+def sentences(normal: DataFrame, limit: int = 0, cutter: Callable[[Column], Column] | None = None) -> DataFrame:
+    """sentences(chap_code, page_no, seq, sentence_id, sentence); cutter is a model's UDF array<string> -> array<string>."""
+    cut = S.of_blocks(F.col("blocks")) if cutter is None else S.by_model(F.col("blocks"), cutter)
+    split = normal.select("chap_code", "page_no", cut.alias("_sents"))
     numbered = numbering.explode_numbered(split, "chap_code", "page_no", "_sents", "sentence", limit)
     return numbered.select("chap_code", "page_no", "seq", numbering.sentence_id(F.col("chap_code"), F.col("seq")).alias("sentence_id"), "sentence")
 
@@ -36,6 +37,12 @@ def entities(sents: DataFrame, tokens: Callable[[Column], Column] | None = None)
     return given.withColumn("entities", found).drop("_tokens")
 
 
+def progress(ner: DataFrame, seconds: float) -> str:
+    """Totals and rates of a run, in one line."""
+    n, found = ner.agg(F.count("*"), F.coalesce(F.sum(F.size("entities")), F.lit(0))).first()
+    return f"{n} sentences, {found} entities in {seconds:.1f} s ({n / max(seconds, 1e-9):.0f} sentences/s)"
+
+
 def summary(ner: DataFrame) -> DataFrame:
     """Sentences and entities of each work."""
     return ner.groupBy("chap_code").agg(F.count("*").alias("n_sentences"), F.sum(F.size("entities")).alias("n_entities"))

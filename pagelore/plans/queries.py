@@ -3,6 +3,7 @@
 The tables hold no Vietnamese, so rules for it run over fixture rows.
 """
 
+import json
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,7 +64,7 @@ def d_fix_tones(e: str) -> str:
     for a, b in zip(V.toned("u"), V.toned("y"), strict=True):
         e = twice(twice(e, f"(^|[^qQ])u{b}", rf"\1{a}y"), f"(^|[^qQ])U{b}", rf"\1{a.upper()}y")
     for a, b in zip(V.toned("o"), V.toned("a"), strict=True):
-        e = twice(e, f"{a}a([{V.LOWER}])", rf"o{b}\1")
+        e = twice(e, f"{a}a([{V.CLOSING}])", rf"o{b}\1")
     return e
 
 
@@ -152,7 +153,7 @@ def spacing(spark, sf_dir):
     return docs(spark, sf_dir).select(F.col("page_no").alias("doc_id"), F.md5(text.respace(F.col("raw"))).alias("h"))
 
 
-TONES = [(x,) for x in "hoà bình|thuỷ lợi|quý|toàn|loại|huỳnh|khuỷu|Oán|QUÝ|khoẻ khoắn|hoạ sĩ|Uý|tuỳ ý|ngoài|hoè".split("|")]
+TONES = [(x,) for x in "hoà bình|thuỷ lợi|quý|toàn|loại|huỳnh|khuỷu|Oán|QUÝ|khoẻ khoắn|hoạ sĩ|Uý|tuỳ ý|ngoài|hoè|hoàô|hoào|hoàớ".split("|")]
 
 
 @query(f"SELECT x, {d_fix_tones('x')} AS y FROM {d_values(TONES, 'x')}")
@@ -303,6 +304,12 @@ GOLDEN = {
     "tỉnh Viện Khảo cổ học": [("tỉnh Viện Khảo", "LOC")],
     "Theo Viện Khảo cổ học, Âu-Lạc mất năm 179 TCN.": [("Viện Khảo cổ học", "ORG"), ("Âu-Lạc", "LOC"), ("năm 179 TCN", "TME")],
     "mùa xuân, giờ Tý, tháng giêng nhuận": [("mùa xuân", "TME"), ("giờ Tý", "TME"), ("tháng giêng nhuận", "TME")],
+    "ngày mồng 5 tháng 3": [("ngày mồng 5", "TME"), ("tháng 3", "TME")],
+    "Khoảng 207 TCN, họ Triệu Đà chiếm Âu Lạc.": [("207 TCN", "TME"), ("Triệu Đà", "PER"), ("Âu Lạc", "LOC")],
+    "niên hiệu Hồng Đức thứ 3": [("niên hiệu Hồng Đức thứ 3", "TME")],
+    "thế kỷ thứ XV trước Công nguyên": [("thế kỷ thứ XV trước Công nguyên", "TME")],
+    "sơ kỳ thời đại đồng thau": [("sơ kỳ thời đại đồng thau", "TME")],
+    "ông Nguyễn Văn Tố đến": [("Nguyễn Văn Tố", "PER")],
     "": [],
 }
 GOLDEN_ROWS = [(s, i, *e) for s, es in GOLDEN.items() for i, e in enumerate(es)]
@@ -325,6 +332,32 @@ def label_counts(spark, sf_dir):
     return _golden(spark).groupBy("label").agg(F.count("*").alias("n"))
 
 
+def _record(sentence: str, found: list[tuple[str, str]]) -> str:
+    return json.dumps({"sentence": sentence, "entities": [{"text": t, "label": k} for t, k in found]}, ensure_ascii=False, separators=(",", ":"))
+
+
+@query(f"SELECT * FROM {d_values([(_record(s, es),) for s, es in GOLDEN.items()], 'record')}")
+def entity_records(spark, sf_dir):
+    """K2, P1: the records of golden sentences as JSON."""
+    own = values(spark, [(s,) for s in GOLDEN], "sentence string").withColumn("entities", spans.extract(F.col("sentence")))
+    return own.select(F.to_json(F.struct("sentence", "entities")).alias("record"))
+
+
+TAGGED = [
+    ("Ông Nam ở Hà Nội năm 1945", [("Ông", "O"), ("Nam", "B-PER"), ("ở", "O"), ("Hà", "B-LOC"), ("Nội", "I-LOC"), ("năm", "O"), ("1945", "O")]),
+    ("về Thăng Long", [("về", "O"), ("Thăng", "B-PER"), ("Long", "I-PER")]),
+]
+TAGGED_ROWS = [("Ông Nam ở Hà Nội năm 1945", 0, "Nam", "PER"), ("Ông Nam ở Hà Nội năm 1945", 1, "Hà Nội", "LOC"), ("Ông Nam ở Hà Nội năm 1945", 2, "năm 1945", "TME"), ("về Thăng Long", 0, "Thăng Long", "LOC")]
+
+
+@query(f"SELECT sentence, CAST(pos AS INTEGER) AS pos, entity, label FROM {d_values(TAGGED_ROWS, 'sentence, pos, entity, label')}")
+def model_and_rules(spark, sf_dir):
+    """U1: a model's spans and the rules' together; a known name keeps its label."""
+    own = spark.createDataFrame(TAGGED, "sentence string, tokens " + TOKEN.simpleString())
+    found = own.withColumn("entities", spans.extract(F.col("sentence"), F.col("tokens")))
+    return found.select("sentence", F.posexplode("entities").alias("pos", "e")).select("sentence", "pos", F.col("e.text").alias("entity"), F.col("e.label").alias("label"))
+
+
 CANDIDATES = [(0, 3, 2), (4, 17, 6), (4, 17, 3), (9, 30, 0), (17, 18, 7), (17, 20, 7)]
 
 
@@ -371,6 +404,12 @@ def content_range(spark, sf_dir):
     return toc.content_range(values(spark, BOOKS, "chap_code string, total int"), marks)
 
 
+@query(f"SELECT * FROM {d_values([('a', 5, 24), ('b', 5, 9), ('c', 5, 8), ('d', 5, 5), ('e', 5, 77)], 'chap_code, start_page, end_page')}")
+def page_ranges(spark, sf_dir):
+    """a start page given by hand, an end page of 0 that counts as unset."""
+    return toc.page_range(content_range(spark, sf_dir), 5, 0)
+
+
 FILES = [("x", "in/x/x_tap_1_ocr.pdf"), ("x", "in/x/x_tap_2_ocr.pdf"), ("y", "in/y/a1.pdf"), ("y", "in/y/b.pdf"), ("z", "in/z/v2_1.pdf"), ("z", "in/z/w3_1.pdf"), ("one", "in/one/book 7.pdf")]
 FILE_CODES = [("x", "in/x/x_tap_1_ocr.pdf", 1, "x_01"), ("x", "in/x/x_tap_2_ocr.pdf", 2, "x_02"), ("y", "in/y/a1.pdf", 1, "y_01"), ("y", "in/y/b.pdf", 2, "y_02"), ("z", "in/z/v2_1.pdf", 1, "z_01"), ("z", "in/z/w3_1.pdf", 2, "z_02"), ("one", "in/one/book 7.pdf", 7, "one")]
 

@@ -18,6 +18,7 @@ TOC = _of(chap_code=S, lvl=I, title=S, page=I, total=I)
 PAGES = _of(chap_code=S, page_no=L, raw=S)
 CHUNKS = _of(chap_code=S, page_no=L, chunk_no=I, chunk=S, key=S)
 CACHE = _of(key=S, corrected=S)
+REPLIES = _of(key=S, reply=S, failed=T.BooleanType())
 CORRECTIONS = _of(chap_code=S, page_no=L, chunk_no=I, original=S, corrected=S, action=S)
 SENTENCES = _of(chap_code=S, seq=L, sentence_id=S, sentence=S)
 NER = _of(sentence_id=S, sentence=S, entities=ENTITY)

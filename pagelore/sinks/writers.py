@@ -44,3 +44,13 @@ def export_work(ner: DataFrame, outdir: str, code: str, chap_code: str) -> None:
             body = json.dumps(record, ensure_ascii=False, indent=2)
             out.write(("," if i else "") + "\n  " + body.replace("\n", "\n  "))
         out.write("]" if i < 0 else "\n]")
+
+
+def export_corrections(corrections: DataFrame, path: str) -> int:
+    """One JSON record a line, in page order, rows streamed; returns how many."""
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    i = 0
+    with open(path, "w", encoding="utf-8") as out:
+        for i, r in enumerate(corrections.orderBy("chap_code", "page_no", "chunk_no").toLocalIterator(), 1):
+            out.write(json.dumps({"original": r.original, "corrected": r.corrected, "action": r.action}, ensure_ascii=False) + "\n")
+    return i

@@ -39,5 +39,12 @@ def load_table(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], CACHE)
 
 
+def known(spark: SparkSession, folder: str) -> DataFrame:
+    """The table in a cache folder, with a JSON object of an earlier tool beside it (``gemini.json``); the table goes first."""
+    table = load_table(spark, f"{folder}/corrected").dropDuplicates(["key"])
+    old = load_json(spark, f"{folder}/gemini.json")
+    return table.unionByName(old.join(table.select("key"), "key", "left_anti"))
+
+
 def append_table(entries: DataFrame, path: str) -> None:
     entries.select("key", "corrected").write.mode("append").parquet(path)

@@ -8,21 +8,31 @@ Any object with ``pages(content, start, end)`` and ``toc(content)`` will do.
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def files(spark: SparkSession, place: str) -> DataFrame:
+    """(path, content) of a PDF file, or of the PDFs in the folders of a folder. Raises where there is none."""
+    one = place.lower().endswith(".pdf")
+    try:
+        found = spark.read.format("binaryFile").load(place if one else f"{place}/*/*.pdf").select("path", "content")
+        some = not found.select("path").isEmpty()
+    except AnalysisException:
+        some = False
+    if not some:
+        raise FileNotFoundError(f"no PDF file {place}" if one else f"no PDF in the folders of {place}")
+    return found
+
+
 def folder_scan(spark: SparkSession, input_dir: str) -> DataFrame:
     """works(code, pdf_path) of ``<input_dir>/<code>/*.pdf``, one level deep. Raises where there is none."""
-    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(f"{input_dir}/*/")
-    works = found.select(F.element_at(F.split("path", "/"), -2).alias("code"), F.col("path").alias("pdf_path"))
-    if works.isEmpty():
-        raise FileNotFoundError(f"no PDF in the folders of {input_dir}")
-    return works
+    return files(spark, input_dir).select(F.element_at(F.split("path", "/"), -2).alias("code"), F.col("path").alias("pdf_path"))
 
 
 def single_file(spark: SparkSession, path: str, code: str) -> DataFrame:
-    return spark.createDataFrame([(code, path)], "code string, pdf_path string")
+    return files(spark, path).select(F.lit(code).alias("code"), F.col("path").alias("pdf_path"))
 
 
 class TextLayer:
@@ -68,12 +78,13 @@ class Ocr(TextLayer):
         return "\n".join(found[0].get("rec_texts", [])) if found else ""
 
 
-def _content(works: DataFrame) -> DataFrame:
-    files = works.sparkSession.read.format("binaryFile").load([r.pdf_path for r in works.select("pdf_path").distinct().collect()])
-    return works.join(files.select(F.col("path").alias("pdf_path"), "content"), "pdf_path")
+def _content(works: DataFrame, place: str) -> DataFrame:
+    """works with ``content``; Spark sends the works, a row for each file, to the files if they are few, and never lists paths on the driver."""
+    own = files(works.sparkSession, place).withColumnRenamed("path", "pdf_path")
+    return own.join(works, "pdf_path")
 
 
-def read_toc(works: DataFrame, make_reader: Callable[[], object] = TextLayer) -> DataFrame:
+def read_toc(works: DataFrame, place: str, make_reader: Callable[[], object] = TextLayer) -> DataFrame:
     """toc(chap_code, lvl, title, page, total); a file without bookmarks has one row of nulls and its total."""
 
     def rows(batches):
@@ -83,10 +94,10 @@ def read_toc(works: DataFrame, make_reader: Callable[[], object] = TextLayer) ->
                 total, marks = reader.toc(content)
                 yield pd.DataFrame([(code, *m, total) for m in marks or [(None, None, None)]], columns=["chap_code", "lvl", "title", "page", "total"])
 
-    return _content(works).select("chap_code", "content").mapInPandas(rows, "chap_code string, lvl int, title string, page int, total int")
+    return _content(works, place).select("chap_code", "content").mapInPandas(rows, "chap_code string, lvl int, title string, page int, total int")
 
 
-def read_pages(works: DataFrame, make_reader: Callable[[], object] = TextLayer) -> DataFrame:
+def read_pages(works: DataFrame, place: str, make_reader: Callable[[], object] = TextLayer) -> DataFrame:
     """works(chap_code, pdf_path, start_page, end_page) -> pages(chap_code, page_no, raw); the range reaches the reader, so other pages are never read."""
 
     def rows(batches):
@@ -97,4 +108,4 @@ def read_pages(works: DataFrame, make_reader: Callable[[], object] = TextLayer)
                 for no, raw in reader.pages(r.content, int(r.start_page), end):
                     yield pd.DataFrame({"chap_code": [r.chap_code], "page_no": [no], "raw": [raw]})
 
-    return _content(works).select("chap_code", "content", "start_page", "end_page").mapInPandas(rows, "chap_code string, page_no long, raw string")
+    return _content(works, place).select("chap_code", "content", "start_page", "end_page").mapInPandas(rows, "chap_code string, page_no long, raw string")
