@@ -9,10 +9,10 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from pagelore import config
+from pagelore import cli, config
 from pagelore.functions import correction as C
 from pagelore.functions import lexicon as V
-from pagelore.functions import spans, text
+from pagelore.functions import models, spans, text
 from pagelore.operators import chapters, corpus, correction, numbering, toc
 from pagelore.plans import queries as Q
 from pagelore.sinks import writers
@@ -20,7 +20,7 @@ from pagelore.sources import cache, pdf
 from pagelore.streaming import incremental
 
 SF = "/root/testdata/sf0.001"
-SMALL = ["tone_fixes", "nfc", "blocks", "chunk_fixtures", "length_guard", "rule_entities", "span_resolution", "bio_merge", "content_range", "chapter_codes", "sentence_ids", "page_texts", "numbers", "first_sentences", "cache_join"]
+SMALL = ["tone_fixes", "nfc", "blocks", "chunk_fixtures", "length_guard", "rule_entities", "entity_records", "model_and_rules", "page_ranges", "span_resolution", "bio_merge", "content_range", "chapter_codes", "sentence_ids", "page_texts", "numbers", "first_sentences", "cache_join"]
 
 
 def rows(names, data):
@@ -141,9 +141,9 @@ def test_pages_and_toc_by_reader(spark, tmp_path):
 
     works = chapters.chapter_numbers(pdf.folder_scan(spark, str(tmp_path)))
     assert sorted(r.chap_code for r in works.collect()) == ["A_01", "A_02", "B"]
-    marks = pdf.read_toc(works, Reader)
+    marks = pdf.read_toc(works, str(tmp_path), Reader)
     ranges = toc.content_range(marks.groupBy("chap_code").agg(F.max("total").alias("total")), marks)
-    got = pdf.read_pages(works.join(ranges, "chap_code"), Reader).collect()
+    got = pdf.read_pages(works.join(ranges, "chap_code"), str(tmp_path), Reader).collect()
     assert sorted((r.chap_code, r.page_no, r.raw) for r in got) == [(c, n, x) for c in ("A_01", "A_02", "B") for n, x in ((2, "two"), (3, "three"))]
 
 
@@ -167,3 +167,135 @@ def test_config():
 
 def test_letters():
     assert unicodedata.normalize("NFC", V.LOWER) == V.LOWER and len(V.ACCENTED) == 67
+
+
+def test_null_and_repeated_places_are_numbered(spark, monkeypatch):
+    monkeypatch.setattr(numbering, "RUN", 3)
+    rows = [("w", 9, ["c"]), ("w", 1, ["a", "b"]), ("w", None, ["n"]), ("w", None, ["n"]), (None, 4, ["x", "y"]), (None, None, ["z"]), ("w", 9, ["c"]), ("v", 2, []), ("v", 5, None), ("v", 7, ["q"])]
+    got = numbering.explode_numbered(spark.createDataFrame(rows, "w string, p long, items array<string>"), "w", "p", "items", "item").collect()
+    by = {w: [(r.seq, r.item) for r in sorted((r for r in got if r.w == w), key=lambda r: r.seq)] for w in ("w", None, "v")}
+    assert by == {"w": [(1, "a"), (2, "b"), (3, "c"), (4, "c"), (5, "n"), (6, "n")], None: [(1, "x"), (2, "y"), (3, "z")], "v": [(1, "q")]}
+
+
+def test_tones(spark):
+    cases = {"hoàô": "hòaô", "hoàớ": "hòaớ", "hoào": "hoào", "toàn": "toàn", "hoà bình": "hòa bình", "ngoaì": "ngoaì", "khoẻ": "khỏe", "quỳ": "quỳ"}
+    own = spark.createDataFrame([(k,) for k in cases], "t string").select("t", text.fix_tones(F.col("t")).alias("x"))
+    assert {r.t: r.x for r in own.collect()} == cases
+
+
+def test_gazetteer():
+    names = ["Lê Thái Tổ", "Lê Thái", "Lê Lợi", "Đại Cồ Việt", "Đại Việt", "Đoàn 58"]
+    found = lambda t: [m[0] for m in python_pattern(V.gazetteer(names)).finditer(t)]
+    assert found("Lê Thái Tổ, Lê-thái tổ, Lê Thái, Lê Tháia, lê Lợi, Lê  Lợi, xLê Lợi") == ["Lê Thái Tổ", "Lê-thái tổ", "Lê Thái"]
+    assert found("Đại-cồ Việt Đại việt Đại VIỆT Đoàn 58 Đoàn-58 Đoàn 581") == ["Đại-cồ Việt", "Đại việt", "Đoàn 58", "Đoàn-58"]
+
+
+def python_entities(sentence):
+    found = []
+    for seq, (label, pattern) in enumerate(V.rules(), 1):
+        for m in python_pattern(pattern).finditer(sentence):
+            st, en = m.span("own") if "own" in m.re.groupindex else m.span()
+            found.append((st, -en, V.PRIORITY[label], seq, label))
+    out, end = [], 0
+    for st, minus, _, _, label in sorted(found):
+        if st >= end:
+            end = -minus
+            if own := sentence[st:end].strip(" ,.;:!?()[]\"'-"):
+                out.append((own, label.removesuffix("_RULE").removesuffix("_GAZ")))
+    return out
+
+
+def test_entities_of_documents(spark):
+    got = Q.QUERIES["entities"](spark, SF).collect()
+    assert len(got) > 5000 and sum(len(r.entities) for r in got) > 20
+    assert all([(e.text, e.label) for e in r.entities] == python_entities(r.sentence) for r in got)
+    summary = {r.chap_code: (r.n_sentences, r.n_entities) for r in Q.QUERIES["work_summary"](spark, SF).collect()}
+    for code, counts in summary.items():
+        own = [r for r in got if r.chap_code == code]
+        assert counts == (len(own), sum(len(r.entities) for r in own))
+
+
+class Model:
+    def sentences(self, text):
+        return text.split("|")
+
+    def tokens(self, text):
+        if "boom" in text:
+            raise ValueError
+        return [(w, "B-PER" if w.istitle() else "O") for w in text.split()]
+
+
+def test_models(spark):
+    normal = spark.createDataFrame([("w", 1, ["aaaa|bbbb", " cccc "]), ("w", 2, ["boom Nam|1"])], "chap_code string, page_no long, blocks array<string>")
+    sents = corpus.sentences(normal, cutter=models.sentence_cutter(Model))
+    got = corpus.entities(sents, models.token_tagger(Model)).orderBy("seq").collect()
+    assert [(r.sentence, r.entities) for r in got] == [("aaaa", []), ("bbbb", []), ("cccc", []), ("boom Nam", [])]
+    named = corpus.entities(spark.createDataFrame([("gặp Nam ở đây",)], "sentence string"), models.token_tagger(Model)).first()
+    assert [tuple(e) for e in named.entities] == [("Nam", "PER")]
+    if not models.available():
+        with pytest.raises(ImportError):
+            models.Pretrained()
+
+
+def test_correction_goes_on_where_it_broke_off(spark, tmp_path, monkeypatch):
+    calls, journal = tmp_path / "calls", str(tmp_path / "journal")
+
+    class Client:
+        def generate(self, prompt, model):
+            chunk = prompt[len(V.PROMPT) :]
+            with calls.open("a") as f:
+                f.write(chunk + "\n")
+            if chunk.endswith("bad"):
+                raise OSError
+            return chunk.upper()
+
+    missing = spark.createDataFrame([(f"k{i}", f"chunk {i}{' bad' * (i == 3)}") for i in range(20)], "key string, chunk string")
+    real, left = correction.ask, [2]
+
+    def breaking(*a):
+        left[0] -= 1
+        if left[0] < 0:
+            raise RuntimeError("lost")
+        return real(*a)
+
+    monkeypatch.setattr(correction, "ask", breaking)
+    with pytest.raises(RuntimeError):
+        correction.ask_all(missing, Client, "m", journal, tasks=2, every=3)
+    before = len(calls.read_text().splitlines())
+    assert 0 < before < 20
+    monkeypatch.setattr(correction, "ask", real)
+    got = {r.key: (r.reply, r.failed) for r in correction.ask_all(missing, Client, "m", journal, tasks=2, every=3).collect()}
+    assert got == {f"k{i}": (None, True) if i == 3 else (f"CHUNK {i}", False) for i in range(20)}
+    asked = calls.read_text().splitlines()
+    assert len(set(asked)) == 20 and all(asked.count(x) == 1 for x in asked if not x.endswith("bad"))
+
+
+def test_command_line(spark, tmp_path, monkeypatch, capsys):
+    for code, name in (("A", "t_1.pdf"), ("A", "t_2.pdf"), ("B", "b.pdf")):
+        (tmp_path / "in" / code).mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / code / name).write_text("Năm 1428, vua Lê Lợi lên ngôi. Câu thứ hai.|Trang sau.")
+
+    class Reader:
+        def toc(self, content):
+            return 2, []
+
+        def pages(self, content, start, end):
+            yield from list(enumerate(content.decode().split("|"), 1))[start - 1 : end]
+
+    class Client:
+        def generate(self, prompt, model):
+            return prompt[len(V.PROMPT) :].replace("hai", "HAI")
+
+    monkeypatch.setenv("GEMINI_API_KEY", "x")
+    out = tmp_path / "out"
+    cli.main(["--input-dir", str(tmp_path / "in"), "--outdir", str(out), "--correct", "--no-models"], Reader, Client)
+    assert (out / "A/A_01/A_01_seg.tsv").read_text().splitlines() == ["A_01_000001\tNăm 1428, vua Lê Lợi lên ngôi.", "A_01_000002\tCâu thứ HAI.", "A_01_000003\tTrang sau."]
+    assert [e["label"] for e in json.loads((out / "B/B_ner.json").read_text())[0]["entities"]] == ["TME", "TITLE", "PER"]
+    assert [json.loads(x)["action"] for x in (out / "corrections.jsonl").read_text().splitlines()].count("corrected") == 2
+    assert "9 sentences" in capsys.readouterr().out and cache.load_table(spark, str(out / "cache/corrected")).count() == 2
+    one = tmp_path / "one"
+    cli.main(["--pdf", str(tmp_path / "in/B/b.pdf"), "--code", "C", "--outdir", str(one), "--limit", "1", "--no-models"], Reader)
+    assert (one / "C/C_seg.tsv").read_text() == "C_000001\tNăm 1428, vua Lê Lợi lên ngôi.\n"
+    for wrong in ("none", "in/A"):
+        with pytest.raises(FileNotFoundError):
+            pdf.folder_scan(spark, str(tmp_path / wrong))
