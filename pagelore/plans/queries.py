@@ -135,7 +135,7 @@ def d_values(rows: list[tuple], names: str) -> str:
   FROM (SELECT source, unnest({d_lines(d_fix_chars("text"))}) AS ln FROM documents)) GROUP BY ALL""")
 def line_classes(spark, sf_dir):
     """F8-F14, N10: lines by the first junk rule that drops them."""
-    own = docs(spark, sf_dir).select("chap_code", F.explode(text.lines(text.fix_chars(F.col("raw")))).alias("ln"))
+    own = corpus.spread(docs(spark, sf_dir)).select("chap_code", F.explode(text.lines(text.fix_chars(F.col("raw")))).alias("ln"))
     kind = F.coalesce(text.junk_class(F.col("s")), F.lit("text")).alias("line_class")
     return own.select(F.col("chap_code").alias("source"), text.ustrip(F.col("ln")).alias("s")).select("source", kind).groupBy("source", "line_class").agg(F.count("*").alias("n"))
 
@@ -174,7 +174,7 @@ def nfc(spark, sf_dir):
 @query(f"WITH {DOCS} SELECT doc_id, len(coalesce(blocks, [])) AS n_blocks, md5(array_to_string(coalesce(blocks, []), chr(10))) AS h FROM documents LEFT JOIN normal ON id = doc_id")
 def page_texts(spark, sf_dir):
     """All of page normalisation (N1-N18, F6-F16, O1) over documents."""
-    out = docs(spark, sf_dir).select(F.col("page_no").alias("doc_id"), text.page_blocks(F.col("raw")).alias("b"))
+    out = corpus.normalize(docs(spark, sf_dir)).select(F.col("page_no").alias("doc_id"), F.col("blocks").alias("b"))
     return out.select("doc_id", F.size("b").cast("long").alias("n_blocks"), F.md5(F.array_join("b", "\n")).alias("h"))
 
 
