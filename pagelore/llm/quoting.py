@@ -39,13 +39,14 @@ def _bound(value: Column, use) -> Column:
 
 
 def passages(lines: Column) -> Column:
-    """array<(level, text)>: runs of lines of one level, 0 included. Linear: places where a run begins, then a slice for each."""
+    """array<(level, text)>: runs of lines of one level, 0 included. Linear: places where a run begins, then the lines of each."""
 
     def of_lines(x: Column) -> Column:
         level = lambda i: F.element_at(x, i)["level"]
 
         def passage(begin: Column, end: Column) -> Column:
-            own = F.transform(F.slice(x, begin, end - begin), lambda y: F.when(y["level"] > 0, y["own"]).otherwise(y["raw"]))
+            line = lambda i: F.when(level(i) > 0, F.element_at(x, i)["own"]).otherwise(F.element_at(x, i)["raw"])
+            own = F.transform(F.sequence(begin, end - 1), line)  # a slice would copy all lines each time
             return F.struct(level(begin).alias("level"), F.array_join(own, "\n").alias("text"))
 
         begins = F.filter(F.sequence(F.lit(1), F.size(x)), lambda i: (i == 1) | (level(i) != level(F.greatest(i - 1, F.lit(1)))))
