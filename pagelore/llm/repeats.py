@@ -34,6 +34,8 @@ LENGTH, GRAM = 400, 128
 SEGMENT = 1 << 19
 #: Places of an anchor beyond which its windows are counted by hash.
 HOT = 100_000
+#: One in so many of the repeated windows' rows makes a window too common to be dealt by its hash.
+CROWDS = 4096
 _POS = U((1 << 20) - 1)
 
 
@@ -241,7 +243,10 @@ def _spans(contexts: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def _hot_spans(own: DataFrame, hot, length: int, gram: int) -> DataFrame:
-    """The same for hot anchors: each window goes with its one anchor and is counted by hash, with partial sums before the shuffle."""
+    """The same for hot anchors: each window goes with its one anchor and is counted by hash, with partial sums before the shuffle.
+
+    Windows that hold over a CROWDS-th of all repeated rows (so fewer than CROWDS) are sent out; their rows stay where they are.
+    """
 
     def run(batches):
         for key, text in _texts(batches):
@@ -253,8 +258,12 @@ def _hot_spans(own: DataFrame, hot, length: int, gram: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(cols, names=["window", "key", "pos", "st"])
 
     found = written(own.select("key", "text").mapInArrow(run, "window long, key long, pos long, st long"), "windows")
-    often = found.groupBy("window").agg(F.count("*").alias("n")).filter("n > 1").select("window")
-    return found.join(often, "window").groupBy("key", "pos").agg(F.min("st").alias("st"), (F.max("st") + length).alias("en")).select("key", "st", "en")
+    often = written(found.groupBy("window").agg(F.count("*").alias("n")).filter("n > 1"), "often")
+    total = often.agg(F.sum("n")).first()[0] or 0
+    crowds = F.broadcast(often.filter(F.col("n") * CROWDS > total).select("window"))
+    rest = found.join(crowds, "window", "left_anti").join(often.filter(F.col("n") * CROWDS <= total).select("window"), "window", "left_semi")
+    twice = found.join(crowds, "window", "left_semi").unionAll(rest)
+    return twice.groupBy("key", "pos").agg(F.min("st").alias("st"), (F.max("st") + length).alias("en")).select("key", "st", "en")
 
 
 def _cut(batches, length: int):

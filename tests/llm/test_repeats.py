@@ -40,6 +40,17 @@ def test_small_strings(spark, seed, alphabet, hot):
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows, 20)
 
 
+@pytest.mark.parametrize("crowds", [2, 50, 10**6])
+def test_crowded_windows(spark, monkeypatch, crowds):
+    monkeypatch.setattr(repeats, "CROWDS", crowds)
+    rng = np.random.default_rng(6)
+    word = lambda k: "".join("abcdefgh"[i] for i in rng.integers(0, 8, k))
+    common, rare = word(30), word(26)
+    rows = [(i, word(5) + common + word(i % 7)) for i in range(80)] + [(100 + i, rare + word(9)) for i in range(3)]
+    got = repeats.remove(spark.createDataFrame(rows, "doc_id long, text string"), length=20, gram=6, hot=2)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows, 20)
+
+
 def test_400_bytes(spark, monkeypatch):
     monkeypatch.setattr(repeats, "SEGMENT", 1000)
     rows = fixture(4, 40, "abcdefgh ", 900)
