@@ -14,7 +14,7 @@ Equal sets are one class. In each index bucket neighbours by size are paired;
 the best pair of each set is verified and links make components. Only buckets
 that still hold several components are expanded, over pairs of different
 components whose size and number of shared prefix tokens can reach the
-threshold. Bitmaps of both sets, a few bits a token, bound their differences
+threshold. Bitmaps of both sets, some bits a token, bound their differences
 from below and rule most of those pairs out; in crowded buckets they do so in
 the join itself, and a pair comes from its first common crowded bucket. The
 rest are verified too. So no bucket is expanded into pairs that can't change
@@ -43,7 +43,7 @@ BLOCK, KNOWN = 1 << 21, 1 << 17
 #: A bucket with more sets is crowded. Any choice gives the same links.
 CROWD = 64
 #: Longs of a crowd's bitmaps and of their quick form, and the most earlier buckets of a set that ride with it to keep a pair from coming twice.
-MARKS, QUICK, EARLIER = 16, 4, 64
+MARKS, QUICK, EARLIER = 64, 4, 64
 #: Stands for the component of a class without links.
 NONE = -(1 << 63)
 SIZE_BITS, HASH_BITS = 20, 42
@@ -182,8 +182,8 @@ def _size_ok(a: str, b: str, num: int, den: int):
 
 
 def sketch(own: np.ndarray) -> bytes:
-    """A bitmap of the low bits of a set's tokens, two to four bits a token. Halves laid over each other give a narrower one."""
-    width = max(64, 1 << (2 * len(own)).bit_length())
+    """A bitmap of the low bits of a set's tokens, 16 to 32 bits a token. Halves laid over each other give a narrower one."""
+    width = max(64, 1 << (16 * len(own)).bit_length())
     bits = np.zeros(width, bool)
     bits[(own & U(width - 1)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").tobytes()
@@ -284,7 +284,7 @@ def _crowded(rows: DataFrame, num: int, den: int) -> DataFrame:
     low, high = F.ceil(F.col("size") * num / den), F.least(F.floor(F.col("size") * den / num), F.floor(F.col("shared") * (num + den) / num) - F.col("size"))
     asks = rows.filter(F.col("end") & (low <= high)).withColumn("band", F.explode(F.sequence(_band(low), _band(high))))
     side = lambda r, s: r.select("key", "band", *(F.col(c).alias(c + s) for c in r.columns if c not in ("key", "band")))
-    # first the bitmaps laid over themselves, four longs each, then the whole ones as a fold, which Spark calls instead of inlining: the loop over pairs stays small enough to be compiled
+    # first the bitmaps laid over themselves, QUICK longs each, then the whole ones as a fold, which Spark calls instead of inlining: the loop over pairs stays small enough to be compiled
     bits = lambda s, t: F.zip_with("m" + s, "m" + t, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))))
     alone = lambda s, t: F.aggregate(bits(s, t), F.lit(0), lambda acc, n: acc + n)
     need = (F.col("sizea") + F.col("sizeb")) * num
@@ -452,24 +452,26 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     more_sets = written(_sets(docs, id_col, text_col, k, classes, _ends(cross)), "sets")
 
     distinct = cross.filter("ia != ib")
-    left = written(_possible(distinct, more_sets, num, den).unionAll(cross.filter("ia = ib")), "possible")
+    left, same_base = written(_possible(distinct, more_sets, num, den), "possible"), cross.filter("ia = ib")
     several = rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct("hi", "lo")).alias("x"), F.max(F.struct("hi", "lo")).alias("y")).filter("x != y")
     ends = several.join(rows.filter("n > 0"), "doc_id").select("x", F.struct("hi", "lo").alias("y")).distinct()
     of_id = lambda c, name: one.select(F.struct("hi", "lo").alias(c), F.col("rep").alias(name))
     same_id = written(ends.join(of_id("x", "a"), "x").join(of_id("y", "b"), "y").select("a", "b"), "same")
     for last in (False, True):
         # the best pair of each component first: those links spare most of the rest
-        todo = apart(left.filter("ia != ib"), part, "ia", "ib")
+        todo = apart(left, part, "ia", "ib")
         if last:
-            todo = todo.select("ia", "ib").unionAll(left.filter("ia = ib").select("ia", "ib"))
+            todo = todo.select("ia", "ib").unionAll(same_base.select("ia", "ib"))
         else:
+            todo = pending = written(todo, "open")  # both sides read it
             pair = F.struct("c", "ia", "ib")
             sides = [todo.groupBy(F.coalesce(c, i).alias("at"), F.col(c).isNull().alias("alone")).agg(F.max(pair).alias("p")) for c, i in (("ca", "ia"), ("cb", "ib"))]
             todo = sides[0].unionAll(sides[1]).select("p.ia", "p.ib").distinct()
         todo = written(todo.select("ia", "ib"), "todo")
         found = written(_verified(todo, more_sets, num, den), "links")
         nodes, part = placed(found.unionAll(same_id) if last else found, nodes)
-        left = left.join(todo, ["ia", "ib"], "left_anti")
+        if not last:
+            left = pending.join(todo, ["ia", "ib"], "left_anti").select("ia", "ib")
     dropped(cross, more_sets)
 
     merged = one.join(nodes, F.col("rep") == F.col("node"), "left").select("hi", "lo", "rep", F.coalesce("component", "rep").alias("component"))

@@ -1,12 +1,14 @@
 """The n-gram Jaccard join against all pairs, and the pipeline's stage on it."""
 
+import itertools
 import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from pagelore.llm import common, ngram_join
+from pagelore.llm import bytehash, common, ngram_join
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, component_id string, id long"
@@ -72,6 +74,27 @@ def test_sketches_lose_no_link():
     assert ruled_out > 100
 
 
+def test_near_misses_are_ruled_out():
+    """Copies of a text that miss the threshold by a few tokens: few of those pairs get past either bitmap, and no link is lost."""
+    rng, owns = random.Random(8), []
+    for i in range(160):
+        words = [f"w{j}" for j in range(150)]
+        for at in rng.sample(range(150), rng.choice([2, 2, 3])):
+            words[at] = f"n{i}x{at}"
+        owns += bytehash.row_shingles(pa.array([" ".join(words)]))
+    misses, past_marks, past_sketch = 0, 0, 0
+    sketches, marks = [ngram_join.sketch(x) for x in owns], [ngram_join.marks(x).tobytes() for x in owns]
+    for i, j in itertools.combinations(range(len(owns)), 2):
+        same = len(np.intersect1d(owns[i], owns[j], assume_unique=True))
+        n, m = len(owns[i]), len(owns[j])
+        link = 100 * same >= 75 * (n + m - same)
+        may = [ngram_join.may_link(x[i], x[j], n, m, 75, 100) for x in (marks, sketches)]
+        assert all(may) or not link
+        if not link:
+            misses, past_marks, past_sketch = misses + 1, past_marks + may[0], past_sketch + may[1]
+    assert misses > 1000 and past_marks < misses / 5 and past_sketch < misses / 5, (misses, past_marks, past_sketch)
+
+
 def test_stage_keeps_one_of_each_group(spark):
     import corpus_pipeline
 
