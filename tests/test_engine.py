@@ -299,3 +299,11 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
     for wrong in ("none", "in/A"):
         with pytest.raises(FileNotFoundError):
             pdf.folder_scan(spark, str(tmp_path / wrong))
+
+
+def test_normalisation_runs_in_the_jvm_and_equals_unicodedata(spark):
+    pages = spark.createDataFrame([("w", 1, "hoà bình")], "chap_code string, page_no long, raw string")
+    assert "EvalPython" not in corpus.normalize(pages)._jdf.queryExecution().toString()
+    given = [c + m for c in map(chr, [*range(0xC0, 0x250), *range(0x1E00, 0x2000), 0x1100, 0xAC00, 0x212B, 0x1D15E]) for m in ("", "́", "̣̂", "ᆨ")] + ["", "plain", None]
+    own = spark.createDataFrame([(t,) for t in given], "t string").select("t", text.nfc(F.col("t")).alias("x")).collect()
+    assert all(r.x == (None if r.t is None else unicodedata.normalize("NFC", r.t)) for r in own) and len(own) == len(given)
