@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagelore.functions import correction as C
+from pagelore.functions import lexicon as V
 from pagelore.schemas import CACHE, REPLIES
 from pagelore.sources.tables import shared_dir, staged
 
@@ -70,16 +71,16 @@ def ask(missing: DataFrame, make_client: Callable[[], object], model: str, rpm:
         client, throttle = make_client(), Throttle(rpm, tasks)
         for pdf in batches:
             rows = []
-            for key, prompt in zip(pdf["key"], pdf["prompt"], strict=True):
+            for key, chunk in zip(pdf["key"], pdf["chunk"], strict=True):
                 throttle.wait()
                 try:
-                    reply = client.generate(prompt, model)
+                    reply = client.generate(V.PROMPT + chunk, model)
                 except Exception:
                     reply = None
                 rows.append((key, reply, reply is None))
             yield pd.DataFrame(rows, columns=["key", "reply", "failed"])
 
-    return missing.select("key", C.prompt(F.col("chunk")).alias("prompt")).repartition(tasks).mapInPandas(call, schema)
+    return missing.select("key", "chunk").repartition(tasks).mapInPandas(call, schema)
 
 
 def journaled(spark, path: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pagelore.functions import spans, text
 from pagelore.operators import chapters, corpus, correction, numbering, toc
 from pagelore.schemas import CACHE, TOKEN
 from pagelore.sinks import writers
-from pagelore.sources.tables import conversation_pages, document_pages, read
+from pagelore.sources.tables import conversation_pages, document_pages, read, staged
 
 QUERIES, SQL = {}, {}
 
@@ -247,9 +247,9 @@ KNOWN = "chunk LIKE '%a%' AND length(chunk) % 7 = 0"
   CASE WHEN hit THEN 'cache_hit' WHEN bad THEN 'fallback_error' WHEN nth > 1 THEN 'cache_hit' WHEN chunk LIKE '%scum%' THEN 'kept_original_length_guard' ELSE 'corrected' END AS action FROM keyed""")
 def cache_join(spark, sf_dir):
     """J1-J3, O4 with a fixed client and a prepared cache over documents."""
-    chunked = correction.chunks(corpus.normalize(docs(spark, sf_dir)), MODEL, 800)
+    chunked = staged(correction.chunks(corpus.normalize(docs(spark, sf_dir)), MODEL, 800), "chunks")  # four branches read it
     cache = chunked.filter(KNOWN).select("key", F.concat(F.lit("K:"), "chunk").alias("corrected")).dropDuplicates(["key"])
-    replies = correction.ask(correction.misses(chunked, cache), DemoClient, MODEL)
+    replies = staged(correction.ask(correction.misses(chunked, cache), DemoClient, MODEL, tasks=max(8, spark.sparkContext.defaultParallelism)), "replies")  # each key is asked for once
     done = correction.resolve(chunked, replies, cache)
     return done.select("chap_code", "page_no", F.col("chunk_no").cast("long").alias("chunk_no"), F.md5("corrected").alias("corrected_md5"), "action")
 

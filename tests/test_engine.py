@@ -307,3 +307,19 @@ def test_normalisation_runs_in_the_jvm_and_equals_unicodedata(spark):
     given = [c + m for c in map(chr, [*range(0xC0, 0x250), *range(0x1E00, 0x2000), 0x1100, 0xAC00, 0x212B, 0x1D15E]) for m in ("", "́", "̣̂", "ᆨ")] + ["", "plain", None]
     own = spark.createDataFrame([(t,) for t in given], "t string").select("t", text.nfc(F.col("t")).alias("x")).collect()
     assert all(r.x == (None if r.t is None else unicodedata.normalize("NFC", r.t)) for r in own) and len(own) == len(given)
+
+
+def test_cache_join_asks_once(spark, tmp_path, monkeypatch):
+    calls = tmp_path / "calls"
+
+    class Client:
+        def generate(self, prompt, model):
+            assert prompt.startswith(V.PROMPT)
+            with calls.open("a") as f:
+                f.write(str(hash(prompt)) + "\n")
+            return prompt[len(V.PROMPT) :]
+
+    monkeypatch.setattr(Q, "DemoClient", Client)
+    assert Q.QUERIES["cache_join"](spark, SF).groupBy("action").count().count() == 2
+    asked = calls.read_text().splitlines()
+    assert len(asked) == len(set(asked)) > 50
