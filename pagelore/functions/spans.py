@@ -9,7 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pagelore.functions import lexicon as V
-from pagelore.schemas import SPAN
+from pagelore.functions.text import let
+from pagelore.schemas import ENTITY, SPAN
 
 OPEN, CLOSE = "\u0001", "\u0002"
 
@@ -19,9 +20,16 @@ def _span(st: Column, en: Column, prio: int, seq: int, label: Column | str) -> C
     return F.struct(st.cast("int").alias("st"), en.cast("int").alias("en"), F.lit(prio).alias("prio"), F.lit(seq).alias("seq"), label.alias("label"))
 
 
+def _safe(sentence: Column) -> Column:
+    return F.replace(F.replace(sentence, F.lit(OPEN), F.lit(" ")), F.lit(CLOSE), F.lit(" "))
+
+
 def find(sentence: Column, pattern: str, label: str, seq: int) -> Column:
     """array<span> of a pattern's matches; of group ``own`` where the pattern names one. Most sentences have none: one search tells."""
-    safe = F.translate(sentence, OPEN + CLOSE, "  ")
+    return let(_safe(sentence), lambda safe: _found(safe, pattern, label, seq, safe.rlike("(?U)" + pattern)))
+
+
+def _found(safe: Column, pattern: str, label: str, seq: int, test: Column) -> Column:
     to = f"${{lead}}{OPEN}${{own}}{CLOSE}" if "(?<own>" in pattern else f"{OPEN}$0{CLOSE}"
     parts = F.split(F.regexp_replace(safe, F.lit("(?U)" + pattern), F.lit(to)), f"[{OPEN}{CLOSE}]", -1)
     start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("inside"), F.array().cast(SPAN).alias("found"))
@@ -32,7 +40,7 @@ def find(sentence: Column, pattern: str, label: str, seq: int) -> Column:
         return F.struct(end.alias("at"), (~acc["inside"]).alias("inside"), F.when(acc["inside"], F.concat(acc["found"], F.array(span))).otherwise(acc["found"]).alias("found"))
 
     found = F.aggregate(parts, start, step, lambda acc: acc["found"])
-    return F.when(safe.rlike("(?U)" + pattern), found).otherwise(F.array().cast(SPAN))
+    return F.when(test, found).otherwise(F.array().cast(SPAN))
 
 
 def merge_bio(sentence: Column, tokens: Column) -> Column:
@@ -83,11 +91,19 @@ def entities(sentence: Column, chosen: Column) -> Column:
 
 
 def rule_spans(sentence: Column) -> Column:
-    """The candidates of all rules, in the order of the rules."""
-    return F.concat(*(find(sentence, pattern, label, seq) for seq, (label, pattern) in enumerate(V.rules(), 1)))
+    """The candidates of all rules, in the order of the rules. Most sentences have neither a digit nor a cue: no rule is tried there."""
+
+    def candidates(x: Column) -> Column:
+        safe, word, digit = x["safe"], x["word"], x["digit"]
+        tests = [(digit if V.needs_digit(p) else word) & safe.rlike("(?U)" + p) for _, p in V.rules()]
+        every = F.concat(*(_found(safe, p, label, seq, test) for seq, ((label, p), test) in enumerate(zip(V.rules(), tests, strict=True), 1)))
+        return F.when(word | digit, every).otherwise(F.array().cast(SPAN))
+
+    told = lambda safe: F.struct(safe.alias("safe"), safe.rlike(V.cue()).alias("word"), safe.rlike(r"(?U)\d").alias("digit"))
+    return let(let(_safe(sentence), told), candidates)
 
 
 def extract(sentence: Column, tokens: Column | None = None) -> Column:
     """Entities of a sentence by rules, and by a model's tokens where given."""
     found = rule_spans(sentence) if tokens is None else F.concat(merge_bio(sentence, tokens), rule_spans(sentence))
-    return entities(sentence, resolve(found))
+    return let(found, lambda f: F.when(F.size(f) == 0, F.array().cast(ENTITY)).otherwise(entities(sentence, resolve(f))))

@@ -323,3 +323,16 @@ def test_cache_join_asks_once(spark, tmp_path, monkeypatch):
     assert Q.QUERIES["cache_join"](spark, SF).groupBy("action").count().count() == 2
     asked = calls.read_text().splitlines()
     assert len(asked) == len(set(asked)) > 50
+
+
+def test_cheap_tests_hide_nothing(spark):
+    spaces = [chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000 and chr(c).isspace() and not 0x1C <= c <= 0x1F]
+    assert sorted(spaces) == sorted(text.SPACES)
+    names = [*V.TITLES, *V.PLACE_CUES.split("|"), *V.PERSON_CUES.split("|"), *V.BODIES, *V.PEOPLE, *V.PLACES, *"ngày tháng năm niên đời mùa thế giờ thời nhà triều".split()]
+    cases = [(v,) for n in names for v in (n, n.upper(), n.title(), "x " + n.replace(" ", "-") + " y")]
+    assert spark.createDataFrame(cases, "s string").filter(~F.col("s").rlike(V.cue())).collect() == []
+    plain = spark.createDataFrame([("Das war nicht so schön, déjà vu.",), ("The whole job is done here.",)], "s string")
+    assert plain.filter(F.col("s").rlike(V.cue())).count() == 0
+    blanks = {"a  b\r\nc\x85d e": "a b c d e", "x ( y ) , z ;w": "x (y), z;w", "d-\nụ-\nA.B.Đ": "dụ-\nA. B. Đ".replace("-\n", "- "), "  a\t": "a"}
+    own = spark.createDataFrame([(t,) for t in blanks], "t string").select("t", F.array_join(text.blocks(F.col("t")), "|").alias("x"), text.respace(F.array_join(text.lines(F.col("t")), "\n")).alias("y"))
+    assert {r.t: r.y for r in own.collect()} == blanks
