@@ -336,3 +336,11 @@ def test_cheap_tests_hide_nothing(spark):
     blanks = {"a  b\r\nc\x85d e": "a b c d e", "x ( y ) , z ;w": "x (y), z;w", "d-\nụ-\nA.B.Đ": "dụ-\nA. B. Đ".replace("-\n", "- "), "  a\t": "a"}
     own = spark.createDataFrame([(t,) for t in blanks], "t string").select("t", F.array_join(text.blocks(F.col("t")), "|").alias("x"), text.respace(F.array_join(text.lines(F.col("t")), "\n")).alias("y"))
     assert {r.t: r.y for r in own.collect()} == blanks
+
+
+def test_limit_leaves_out_later_pages(spark):
+    pages = spark.createDataFrame([("w", p, [f"{p}{i}" for i in range(p % 3)]) for p in [*range(40), 1, 1]], "w string, p long, items array<string>")
+    placed = numbering.with_offsets(pages, "w", "p", "items", 4)
+    assert sorted((r.p, r.offset) for r in placed.collect()) == [(1, 0), (1, 1), (1, 2), (2, 3)]
+    got = numbering.explode_numbered(pages, "w", "p", "items", "item", 4).orderBy("seq").collect()
+    assert [(r.seq, r.item) for r in got] == [(1, "10"), (2, "10"), (3, "10"), (4, "20")]
